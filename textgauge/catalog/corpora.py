@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textgauge.catalog.registry import (
-    LABELLED, ROLES, labelled, query, roles, rounded, sql_clean, sql_words, table,
+    LABELLED, ROLES, SPACE, labelled, query, roles, rounded, sql_clean, sql_words, table,
 )
 from textgauge.config import CorpusConfig
 from textgauge.functions import text as X
@@ -265,7 +265,7 @@ def _(spark, sf):
 
 # ---- vocabulary ----
 
-_WORDS = f"(select generated, unnest(string_split_regex(lower(text), '[{X.SPACE}]+')) as word from {LABELLED})"
+_WORDS = f"(select generated, unnest(string_split_regex(lower(text), '[{SPACE}]+')) as word from {LABELLED})"
 
 
 @query(

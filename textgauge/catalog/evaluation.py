@@ -188,6 +188,22 @@ def _(spark, sf):
     return metrics.performance_summary(rows, auc=ranking.roc_auc(rows).scalar())
 
 
+_NAMES = ("accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted", "recall_weighted", "f1_weighted", "f1")
+
+
+@query(
+    "evaluation_summary",
+    " union all ".join(f"select '{m}' as metric, round({m}, 6) as value from {METRICS}" for m in _NAMES)
+    + f""" union all select 'brier_score', round({BRIER}, 6) union all select 'expected_calibration_error', round({ECE}, 6)
+    union all select 'roc_auc', round({AUC}, 6) union all select 'average_precision', round({AP}, 6)""",
+)
+def _(spark, sf):
+    rows = scored(spark, sf)
+    return rounded(
+        metrics.evaluation_summary(rows, ranking.ranking_metrics(rows), calibration.expected_calibration_error(rows))
+    )
+
+
 @query("bootstrap_accuracy_ci")
 def _(spark, sf):
     return bootstrap.bootstrap_accuracy_ci(scored(spark, sf))

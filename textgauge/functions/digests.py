@@ -6,8 +6,9 @@ import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def names(key: str | Sequence[str]) -> list[str]:
@@ -18,6 +19,13 @@ def key_struct(key: str | Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in names(key)])
 
 
+def numeric_key(df: DataFrame, key: str | Sequence[str]) -> str | None:
+    """The key's only column if it is a number; its minimum can then be kept in a hash aggregate."""
+    cols = names(key)
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    return cols[0] if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, whole) else None
+
+
 def text_digest(text: Column | str) -> Column:
     """32 bytes that stand for the text in a shuffle."""
     return F.unhex(F.sha2(F.col(text) if isinstance(text, str) else text, 256))

@@ -7,26 +7,40 @@ inside generated code.  Character classes are spelled out because the engine's
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Unicode white space and word characters.
-SPACE = (
-    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
-WORD = r"\p{L}\p{N}_"
+#
+# Single Latin characters come first and one by one: the regex engine tests those with a table lookup.
+# The rest sits behind one range test, so that ordinary text costs two comparisons per character.
+_LATIN_SPACE = r"\x09\x0A\x0B\x0C\x0D\x1C\x1D\x1E\x1F\x85\xA0"
+_OTHER_SPACE = r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]]"
+SPACE_NOT_BLANK = _LATIN_SPACE + _OTHER_SPACE
+SPACE = r"\x20" + SPACE_NOT_BLANK
+WORD = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_" + r"\p{L}\p{N}"
 KEPT_PUNCTUATION = r""".,!?;:"'\-"""
 
-SPACE_RUN = f"[{SPACE}]+"
-NON_SPACE_RUN = f"[^{SPACE}]+"
-TOKEN = f"[{WORD}]+|[^{WORD}{SPACE}]"
+SPACE_RUN = f"[{SPACE}]++"
+NON_SPACE_RUN = f"[^{SPACE}]++"
+# White space that is not already one blank; leaves the frequent single blanks alone.
+UNEVEN_SPACE = f"[{SPACE_NOT_BLANK}][{SPACE}]*+| [{SPACE}]++"
+TOKEN = f"[{WORD}]++|[^{WORD}{SPACE}]"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that a later filter on them does not compute them a second time.
+
+    A filter moves below an ordinary projection and takes a copy of the expression along; it does not
+    move below a generator.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def strip(text: Column | str) -> Column:
     """Drop white space at both ends."""
     return F.regexp_replace(_col(text), rf"^[{SPACE}]+|[{SPACE}]+\z", "")
@@ -45,11 +59,11 @@ def clean(
     Null becomes the empty string.  White space is collapsed to blanks first, so a plain trim
     of blanks at the end is a full strip.
     """
-    out = F.regexp_replace(_col(text), SPACE_RUN, " ")
+    out = F.regexp_replace(_col(text), UNEVEN_SPACE, " ")
     if drop_special:
-        out = F.regexp_replace(out, f"[^{WORD}{SPACE}{KEPT_PUNCTUATION}]", "")
+        out = F.regexp_replace(out, f"[^{KEPT_PUNCTUATION}{WORD}{SPACE}]++", "")
     if punctuation:
-        out = F.regexp_replace(out, r"([.!?])\1+", "$1")
+        out = F.regexp_replace(out, r"([.!?])\1++", "$1")
     if lowercase:
         out = F.lower(out)
     return F.coalesce(F.trim(out), F.lit(""))

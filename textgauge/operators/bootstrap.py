@@ -1,8 +1,8 @@
 """Bootstrap interval of accuracy.
 
-Resampling n rows with replacement only changes how often each (label, prediction) cell is drawn, so
-one multinomial draw over the cells is the same experiment.  The cost grows with the number of
-replicates, not with rows times replicates.
+Resampling n rows with replacement draws each time a right or a wrong row, so one binomial draw with the
+observed share of right rows is the same experiment.  The cost grows with the number of replicates, not
+with rows times replicates.
 """
 
 from __future__ import annotations
@@ -15,32 +15,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.config import SEED
-from textgauge.operators.metrics import cells
 
 
 def accuracy_replicates(scored: DataFrame, replicates: int = 1000, seed: int = SEED) -> DataFrame:
     """(replicate, accuracy): one draw per replicate, the same for a given seed under any partitioning."""
-    table = cells(scored).agg(
-        F.array_sort(
-            F.collect_list(F.struct("label", "prediction", "n", (F.col("label") == F.col("prediction")).alias("hit")))
-        ).alias("_c")
+    known = F.col("label").isNotNull() & F.col("prediction").isNotNull()
+    counts = scored.agg(
+        F.struct(F.count_if(known).alias("n"), F.count_if(F.col("label") == F.col("prediction")).alias("right")).alias("_c")
     )
-    plan = scored.sparkSession.range(replicates).withColumn("_c", table.scalar()).select(
-        F.col("id").alias("replicate"), F.col("_c.n").alias("counts"), F.col("_c.hit").alias("hits")
-    )
+    plan = scored.sparkSession.range(replicates).withColumn("_c", counts.scalar())
+    plan = plan.select(F.col("id").alias("replicate"), "_c.n", "_c.right")
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for replicate, counts, hits in zip(batch["replicate"], batch["counts"], batch["hits"]):
-                n = 0 if counts is None else int(np.sum(counts))
-                if n == 0:
-                    out.append(np.nan)
-                    continue
-                rng = np.random.default_rng([seed, int(replicate)])
-                drawn = rng.multinomial(n, np.asarray(counts, dtype=float) / n)
-                out.append(float(drawn[np.asarray(hits, dtype=bool)].sum()) / n)
-            yield pd.DataFrame({"replicate": batch["replicate"], "accuracy": out})
+            accuracy = [
+                np.random.default_rng([seed, r]).binomial(n, right / n) / n if n else None
+                for r, n, right in zip(batch["replicate"], batch["n"], batch["right"])
+            ]
+            yield pd.DataFrame({"replicate": batch["replicate"], "accuracy": pd.Series(accuracy, dtype=float)})
 
     return plan.mapInPandas(draw, "replicate bigint, accuracy double")
 

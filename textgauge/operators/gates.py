@@ -22,7 +22,13 @@ DEFAULT = GateConfig()
 
 
 def gate_facts(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
-    """Everything the gates need, in one row."""
+    """Everything the gates need, in one row.
+
+    Only rows with allowed labels and predictions count (``gate_inputs`` rejects a table with others), so
+    the per-class entries of the row are as many as there are allowed labels.
+    """
+    allowed = list(config.allowed_labels)
+    scored = scored.where(F.col("label").isin(*allowed) & F.col("prediction").isin(*allowed))
     total = F.sum("support")
 
     def weighted(name: str) -> Column:
@@ -34,7 +40,6 @@ def gate_facts(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
         weighted("precision").alias("precision"),
         weighted("recall").alias("recall"),
         weighted("f1").alias("f1"),
-        # As many entries as there are classes.
         F.array_sort(F.collect_list(F.struct("label", "name", "f1", "support", "predicted", "hits"))).alias("classes"),
         F.max(F.when(F.col("label") == AI, F.col("predicted") - F.col("hits"))).alias("_fp"),
         F.max(F.when(F.col("label") == AI, F.col("support") - F.col("hits"))).alias("_fn"),

@@ -139,3 +139,16 @@ def performance_summary(scored: DataFrame, auc: Column | None = None) -> DataFra
     return row.select(
         grade.alias("overall_performance"), line.alias("key_metrics"), calibration.alias("calibration")
     )
+
+
+def evaluation_summary(scored: DataFrame, ranking: DataFrame, ece: DataFrame) -> DataFrame:
+    """(metric, value): all single-number metrics; ranking metrics are 0.0 where a class is absent."""
+    row = classification_metrics(scored).withColumn("brier_score", brier_score(scored).scalar())
+    both = ranking.select(F.struct("roc_auc", "average_precision").alias("_r")).scalar()
+    row = row.withColumn("_r", both).withColumn("expected_calibration_error", ece.scalar())
+    row = row.withColumn("roc_auc", F.coalesce("_r.roc_auc", F.lit(0.0))).withColumn(
+        "average_precision", F.coalesce("_r.average_precision", F.lit(0.0))
+    )
+    wanted = [c for c in row.columns if c not in ("_r", "n")]
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in wanted])
+    return row.select(F.inline(pairs))

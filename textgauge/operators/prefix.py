@@ -18,7 +18,10 @@ RANGES = 128
 
 
 def _sample(freq: DataFrame, order: str) -> DataFrame:
-    return freq.select(F.col(order).alias("_v")).orderBy(F.xxhash64("_v"), "_v").limit(RANGES)
+    # Ordering by every column keeps them all in the plan, so the shuffle behind ``freq`` is the one
+    # that the other uses of ``freq`` have, and runs once.
+    others = [c for c in freq.columns if c != order]
+    return freq.orderBy(F.xxhash64(order), order, *others).limit(RANGES).select(F.col(order).alias("_v"))
 
 
 def _cuts(freq: DataFrame, order: str) -> Column:
@@ -34,11 +37,10 @@ def running_totals(
     ``freq`` has one row per (by, order) and no null in either.
     """
     by = list(by)
-    ranged = (
-        freq.withColumn("_cuts", _cuts(freq, order))
-        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(order))))
-        .drop("_cuts")
-    )
+    # Never null: a join on a nullable column would add a null filter, which would be pushed below the
+    # aggregate behind ``freq`` and search the cuts for every row instead of every distinct value.
+    place = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(order))), F.lit(0))
+    ranged = freq.withColumn("_cuts", _cuts(freq, order)).withColumn("_range", place).drop("_cuts")
     totals = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
     group = Window.partitionBy(*by) if by else Window.partitionBy()
     ahead = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from textgauge.config import CLASSES, CorpusConfig, QualityConfig
 from textgauge.functions import labels as L
 from textgauge.functions import text as X
-from textgauge.functions.digests import key_struct, names, text_digest
+from textgauge.functions.digests import key_struct, names, numeric_key, text_digest
 from textgauge.operators.prefix import summarize
 from textgauge.operators.profile import value_counts
 from textgauge.operators.quality import validation_report
@@ -43,22 +43,41 @@ def _clean(config: CorpusConfig) -> Column:
     return X.clean(config.text, drop_special=config.drop_special, lowercase=config.lowercase)
 
 
-def _kept_copies(df: DataFrame, key, config: CorpusConfig) -> DataFrame:
-    """Narrow rows ``key..., label, length`` of the rows that remain before the length filter."""
+def _kept_copies(df: DataFrame, key, config: CorpusConfig, classes: Sequence[int]) -> DataFrame:
+    """Narrow rows ``key..., _label`` of the kept copies that have a text and a label and fit the length limits.
+
+    Of equal texts the row with the smallest key is kept, and its label decides.  ``_label`` is null for a
+    label outside ``classes``.
+    """
     cols = names(key)
-    label = F.col(config.label)
+    length = F.when(F.col(config.text).isNotNull(), X.char_count(_clean(config)))
+    fits = F.col("_length").between(config.min_length, config.max_length)
+    if not config.drop_duplicates:
+        rows = X.compute_once(df.select(*cols, config.text, F.col(config.label).alias("_label")), _length=length)
+        return rows.where(fits & F.col("_label").isNotNull()).select(*cols, "_label")
     narrow = df.select(
-        *cols,
-        label.alias("_label"),
-        F.when(F.col(config.text).isNotNull(), X.char_count(_clean(config))).alias("_length"),
-        *([text_digest(config.text).alias("_digest")] if config.drop_duplicates else []),
+        text_digest(config.text).alias("_digest"), *cols, F.col(config.label).alias("_label"), length.alias("_length")
+    )
+    number = numeric_key(df, key)
+    if number is None:
+        first = F.min(F.struct(key_struct(cols).alias("k"), F.col("_label").alias("label"))).alias("_f")
+        kept = narrow.groupBy("_digest").agg(first, F.max("_length").alias("_length"))
+        kept = kept.where(fits & F.col("_f.label").isNotNull())
+        return kept.select(*[F.col(f"_f.k.{c}").alias(c) for c in cols], F.col("_f.label").alias("_label"))
+    # Fixed-width minima per class keep this a hash aggregate: the class whose smallest key is the
+    # smallest of all is the class of the kept copy.
+    k = F.col(number)
+    minima = [F.min(F.when(F.col("_label") == c, k)).alias(f"_k{i}") for i, c in enumerate(classes)]
+    kept = narrow.groupBy("_digest").agg(
+        F.min(k).alias(number),
+        F.min(F.when(F.col("_label").isNotNull(), k)).alias("_known"),
+        F.max("_length").alias("_length"),
+        *minima,
     )
-    if config.drop_duplicates:
-        # The kept copy is the one with the smallest key; its label decides, the length is common to all.
-        first = F.min(F.struct(key_struct(cols).alias("k"), F.col("_label").alias("label")))
-        narrow = narrow.groupBy("_digest").agg(first.alias("_f"), F.max("_length").alias("_length"))
-        narrow = narrow.select(*[F.col(f"_f.k.{c}").alias(c) for c in cols], F.col("_f.label").alias("_label"), "_length")
-    return narrow.where(F.col("_length").isNotNull() & F.col("_label").isNotNull())
+    label = F.lit(None).cast(df.schema[config.label].dataType)
+    for i, c in enumerate(classes):
+        label = F.when(F.col(f"_k{i}") == k, F.lit(c)).otherwise(label)
+    return kept.where(fits & (F.col("_known") == k)).select(number, label.alias("_label"))
 
 
 def build_corpus(
@@ -69,11 +88,11 @@ def build_corpus(
     Rows of other than the listed classes stay only if balancing is off.
     """
     cols = names(key)
-    kept = _kept_copies(df, key, config).where(F.col("_length").between(config.min_length, config.max_length))
+    kept = _kept_copies(df, key, config, classes)
     out = [*cols, config.text, config.label] + ([config.source] if config.source in df.columns else [])
+    # Everything a row can be judged by on its own comes before the join, the cheap tests first.
     texts = df.where(F.col(config.text).isNotNull() & F.col(config.label).isNotNull())
-    texts = texts.select(*[_clean(config).alias(c) if c == config.text else F.col(c) for c in out])
-    texts = texts.where(F.length(F.col(config.text)).between(config.min_length, config.max_length))
+    texts = texts.where(F.length(config.text) >= config.min_length)  # cleaning never lengthens a text
     if config.balance:
         narrow = _narrow(kept, cols, config.seed, "_label", classes)
         common = _common_size(narrow, None)
@@ -81,9 +100,17 @@ def build_corpus(
         texts = texts.where(
             F.col(config.label).isin(*classes) & within(limits, F.col(config.label), 0, cols, config.seed)
         )
+    texts = X.compute_once(texts.select(*out), _clean=_clean(config))
+    texts = texts.where(F.length("_clean").between(config.min_length, config.max_length))
+    texts = texts.select(*[F.col("_clean").alias(c) if c == config.text else F.col(c) for c in out])
     if not config.drop_duplicates:
         return texts
-    return texts.join(kept.select(*cols), cols, "left_semi")
+    if not config.balance:
+        return texts.join(kept.select(*cols), cols, "left_semi")
+    # Joining on the class too keeps it in the plan: the grouping behind ``kept`` is then the very one the
+    # thresholds use, and its shuffle is made once.
+    same = kept.select(*cols, F.col("_label").alias(config.label))
+    return texts.join(same, [*cols, config.label], "left_semi")
 
 
 def corpus_funnel(df: DataFrame, key, config: CorpusConfig = CorpusConfig()) -> DataFrame:
