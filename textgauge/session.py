@@ -18,6 +18,7 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "textgauge")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.ui.enabled", "false")
@@ -27,21 +28,23 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "textgauge")
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
 
     Only a local session may go without that setting; it then gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="textgauge-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="textgauge-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
