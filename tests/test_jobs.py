@@ -11,7 +11,7 @@ from textgauge.operators import quality, scoring
 from textgauge.operators.model import train
 from textgauge.plans import corpus as C
 from textgauge.plans.scoring import predictions_path, score_file
-from textgauge.plans.training import scored_table, train_and_score
+from textgauge.plans.training import load_model, scored_table, train_and_score, training_job
 from textgauge.sources import inventory, readers, stage_cache, writers
 from textgauge.streaming import scoring as streams
 
@@ -34,7 +34,7 @@ def test_good_corpus_passes(spark):
     report = verdicts(good(spark))
     assert set(report) == {"schema", "data_quality", "text_content", "labels", "class_distribution", "summary"}
     assert all(report.values())
-    C.checked_corpus(good(spark))
+    C.require_passed(quality.validation_report(good(spark)))
 
 
 @pytest.mark.parametrize(
@@ -49,7 +49,7 @@ def test_one_bad_row(spark, row, failed):
     report = verdicts(df)
     assert not report[failed] and not report["summary"]
     with pytest.raises(ValueError, match=failed):
-        C.checked_corpus(df)
+        C.require_passed(quality.validation_report(df))
 
 
 def test_columns_classes_and_nulls(spark):
@@ -90,6 +90,23 @@ def test_config_ranges():
             bad()
 
 
+def test_corpus_job_reuses_its_stages(spark, tmp_path):
+    source, base = str(tmp_path / "raw"), str(tmp_path / "out")
+    rows = [(i, f"{'human' if i % 3 else 'gpt'} text number {i} " + "word " * 10, "human" if i % 3 else "gpt") for i in range(400)]
+    raw = spark.createDataFrame(rows, "k bigint, text string, source string")
+    raw.write.parquet(source)
+    built = C.corpus_job(spark, source, base, "k")
+    assert {r["generated"]: r["count"] for r in built.groupBy("generated").count().collect()} == {0: 134, 1: 134}
+    again = C.corpus_job(spark, source, base, "k")
+    assert again.inputFiles() == built.inputFiles()
+    other = C.corpus_job(spark, source, base, "k", CorpusConfig(balance=False))
+    assert other.count() == 400 and other.inputFiles() != built.inputFiles()
+    with pytest.raises(ValueError, match="class_distribution"):
+        C.corpus_job(spark, source, base, "k", sample=50)
+    raw.limit(1).write.mode("append").parquet(source)
+    assert C.corpus_job(spark, source, base, "k").inputFiles() != built.inputFiles()
+
+
 # ---- sources and sinks ----
 
 AWKWARD = [(1, 'say "hi"\n, ok'), (2, ""), (3, None), (4, " padded\t"), (5, "back\\slash"), (6, "a\r\nb"), (7, "é,ü"), (8, '"')]
@@ -218,6 +235,16 @@ def test_training_learns_and_never_reads_the_test_rows(spark):
     assert train(poisoned, "text", "generated", config).history == fitted.history
 
 
+def test_training_job(spark, tmp_path):
+    config = TrainConfig(features=1 << 10, max_iter=10, reg_ladder=(0.01,))
+    values, verdict = training_job(separable(spark), str(tmp_path), "text", "generated", "k", config)
+    assert {r.metric: r.value for r in values.collect()}["f1"] == 1.0
+    assert verdict.first().n_issues == 0
+    model = load_model(str(tmp_path))
+    new = spark.createDataFrame([(1, "gamma delta")], "k int, text string")
+    assert scoring.score_with_model(new, model).first().prediction_label == "ai"
+
+
 def test_model_scores_like_the_batch_columns(spark):
     config = TrainConfig(features=1 << 10, max_iter=5, reg_ladder=(0.01,))
     fitted, _ = train_and_score(separable(spark), "text", "generated", "k", config)

@@ -10,6 +10,7 @@ from textgauge.catalog.registry import (
 from textgauge.config import CorpusConfig
 from textgauge.functions import text as X
 from textgauge.operators import dedup, profile, sampling, vocabulary
+from textgauge.operators.prefix import summarize
 from textgauge.plans import corpus as C
 
 ORDER = "md5('42|' || doc_id), doc_id"
@@ -183,6 +184,17 @@ def _(spark, sf):
     return rounded(profile.text_length_stats(table(spark, sf, "documents"), "text"))
 
 
+@query(
+    "text_length_describe",
+    """select count(*) as n, cast(min(v) as bigint) as min, cast(max(v) as bigint) as max, round(avg(v), 6) as mean,
+        round(stddev_samp(v), 6) as std, round(quantile_cont(v, 0.25), 6) as q1, round(quantile_cont(v, 0.5), 6) as median,
+        round(quantile_cont(v, 0.75), 6) as q3 from (select cast(length(text) as double) as v from documents)""",
+)
+def _(spark, sf):
+    lengths = table(spark, sf, "documents").select(X.char_count("text").alias("length"))
+    return rounded(summarize(lengths, "length", profile.QUARTILES))
+
+
 @query(
     "text_length_stats_by_source",
     f"select source, {_STATS} from (select source, cast(length(text) as double) as v from documents) group by source",

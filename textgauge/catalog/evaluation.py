@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textgauge.catalog.registry import SCORED, query, rounded, scored, table
 from textgauge.operators import bootstrap, calibration, gates, metrics, ranking
+from textgauge.plans.training import evaluate
 
 CELLS = f"(select label, prediction, count(*) as n from {SCORED} group by label, prediction)"
 
@@ -198,10 +199,7 @@ _NAMES = ("accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_
     union all select 'roc_auc', round({AUC}, 6) union all select 'average_precision', round({AP}, 6)""",
 )
 def _(spark, sf):
-    rows = scored(spark, sf)
-    return rounded(
-        metrics.evaluation_summary(rows, ranking.ranking_metrics(rows), calibration.expected_calibration_error(rows))
-    )
+    return rounded(evaluate(scored(spark, sf)))
 
 
 @query("bootstrap_accuracy_ci")

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 128
+STEP = 16
+RANGES = STEP * STEP
 
 
 def _sample(freq: DataFrame, order: str) -> DataFrame:
@@ -25,8 +26,26 @@ def _sample(freq: DataFrame, order: str) -> DataFrame:
 
 
 def _cuts(freq: DataFrame, order: str) -> Column:
-    """Sorted array of at most ``RANGES`` values, as a scalar subquery."""
-    return _sample(freq, order).agg(F.array_sort(F.collect_set("_v")).alias("_cuts")).scalar()
+    """At most ``RANGES`` sorted values in runs of ``STEP``, with the last value of each run: a scalar subquery."""
+    found = _sample(freq, order).agg(F.array_sort(F.collect_set("_v")).alias("_s"))
+    runs = F.transform(F.sequence(F.lit(0), F.lit(STEP - 1)), lambda i: F.slice("_s", i * STEP + 1, F.lit(STEP)))
+    found = found.select(runs.alias("runs"))
+    return found.select(F.struct("runs", F.transform("runs", lambda r: F.array_max(r)).alias("lasts")).alias("_c")).scalar()
+
+
+def _with_range(freq: DataFrame, order: str) -> DataFrame:
+    """Add ``_range``: a number that rises with the value and changes at every cut.
+
+    The run is found first, then the place in it: 2 * STEP comparisons.  Never null: a join on a nullable
+    column would add a null filter, which would be pushed below the aggregate behind ``freq`` and search
+    the cuts for every row instead of every distinct value.
+    """
+    value = F.col(order)
+    run = F.size(F.filter("_cuts.lasts", lambda c: c < value))
+    place = F.size(F.filter(F.get("_cuts.runs", F.col("_run")), lambda c: c < value))
+    marked = freq.withColumn("_cuts", _cuts(freq, order)).withColumn("_run", run)
+    ranged = F.coalesce(F.col("_run") * STEP, F.lit(0)) + F.coalesce(F.greatest(place, F.lit(0)), F.lit(0))
+    return marked.withColumn("_range", ranged).drop("_cuts", "_run")
 
 
 def running_totals(
@@ -37,10 +56,7 @@ def running_totals(
     ``freq`` has one row per (by, order) and no null in either.
     """
     by = list(by)
-    # Never null: a join on a nullable column would add a null filter, which would be pushed below the
-    # aggregate behind ``freq`` and search the cuts for every row instead of every distinct value.
-    place = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(order))), F.lit(0))
-    ranged = freq.withColumn("_cuts", _cuts(freq, order)).withColumn("_range", place).drop("_cuts")
+    ranged = _with_range(freq, order)
     totals = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
     group = Window.partitionBy(*by) if by else Window.partitionBy()
     ahead = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

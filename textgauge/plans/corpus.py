@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgauge.config import CLASSES, CorpusConfig, QualityConfig
@@ -20,7 +20,10 @@ from textgauge.functions.digests import key_struct, names, numeric_key, text_dig
 from textgauge.operators.prefix import summarize
 from textgauge.operators.profile import value_counts
 from textgauge.operators.quality import validation_report
-from textgauge.operators.sampling import _common_size, _narrow, thresholds, within
+from textgauge.operators.sampling import _common_size, _narrow, sample_rows, thresholds, within
+from textgauge.sources.inventory import list_files
+from textgauge.sources.readers import read_corpus, require_columns
+from textgauge.sources.stage_cache import cached_stage
 
 
 def label_rows(
@@ -106,11 +109,11 @@ def build_corpus(
     if not config.drop_duplicates:
         return texts
     if not config.balance:
-        return texts.join(kept.select(*cols), cols, "left_semi")
+        return texts.join(kept.select(*cols), cols, "left_semi").select(*out)
     # Joining on the class too keeps it in the plan: the grouping behind ``kept`` is then the very one the
     # thresholds use, and its shuffle is made once.
     same = kept.select(*cols, F.col("_label").alias(config.label))
-    return texts.join(same, [*cols, config.label], "left_semi")
+    return texts.join(same, [*cols, config.label], "left_semi").select(*out)
 
 
 def corpus_funnel(df: DataFrame, key, config: CorpusConfig = CorpusConfig()) -> DataFrame:
@@ -181,11 +184,38 @@ def length_stats(corpus: DataFrame, config: CorpusConfig = CorpusConfig()) -> Da
     return summarize(corpus.select(X.char_count(config.text).alias("length")), "length")
 
 
-def checked_corpus(corpus: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
-    """The report of a written corpus; raises if the corpus fails, as the last step of the corpus job."""
-    report = validation_report(corpus, config)
-    summary = {r["check"]: r["passed"] for r in report.select("check", "passed").collect()}  # six rows
-    if not summary["summary"]:
-        failed = sorted(c for c, ok in summary.items() if not ok and c != "summary")
+def require_passed(report: DataFrame) -> None:
+    """Raise if a validation report holds a failed check (it has six rows)."""
+    failed = sorted(r["check"] for r in report.where(~F.col("passed")).select("check").collect() if r["check"] != "summary")
+    if failed:
         raise ValueError(f"corpus fails: {', '.join(failed)}")
-    return report
+
+
+def corpus_job(
+    spark: SparkSession,
+    source: str,
+    base: str,
+    key,
+    config: CorpusConfig = CorpusConfig(),
+    quality: QualityConfig = QualityConfig(),
+    sample: int | None = None,
+) -> DataFrame:
+    """Read, label, build and check a corpus under ``base``; the finished table, or an error if it fails the gate.
+
+    Each stage is stored under the fingerprint of everything that shapes it, the input's files included,
+    and read instead of built while that stays the same.
+    """
+    files = list_files(spark, source, "*.parquet").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
+    params = {"source": source, "files": files["n"], "bytes": files["size"], "key": names(key), "sample": sample}
+    params.update(config.params())
+
+    def build() -> DataFrame:
+        raw = require_columns(read_corpus(spark, source), *names(key), config.text, config.source)
+        raw = raw.select(*names(key), config.text, config.source)
+        return build_corpus(label_rows(sample_rows(raw, sample, key, config.seed) if sample else raw, config), key, config)
+
+    corpus = cached_stage(spark, base, "corpus", params, build)
+    limits = {**params, "quality": str(quality)}
+    report = cached_stage(spark, base, "report", limits, lambda: validation_report(corpus, quality))
+    require_passed(report)
+    return corpus

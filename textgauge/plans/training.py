@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.config import CLASSES, ScoreConfig, TrainConfig
+from textgauge.config import CLASSES, GateConfig, ScoreConfig, TrainConfig
+from textgauge.operators.calibration import expected_calibration_error
+from textgauge.operators.gates import model_gate_report
+from textgauge.operators.metrics import evaluation_summary
 from textgauge.operators.model import Fitted, train
+from textgauge.operators.ranking import ranking_metrics
 from textgauge.operators.sampling import split_rows
 from textgauge.operators.scoring import score_with_model
+from textgauge.sources.writers import write_split
 
 
 def train_and_score(
@@ -34,3 +40,33 @@ def scored_table(rows: DataFrame, label: str) -> DataFrame:
     return rows.where(~F.col("processing_error")).select(
         F.col(label).cast("int").alias("label"), "prediction", F.col("prob_ai").alias("probability")
     )
+
+
+def evaluate(scored: DataFrame) -> DataFrame:
+    """(metric, value) of a scored table."""
+    return evaluation_summary(scored, ranking_metrics(scored), expected_calibration_error(scored))
+
+
+def training_job(
+    corpus: DataFrame,
+    base: str,
+    text: str,
+    label: str,
+    key,
+    config: TrainConfig = TrainConfig(),
+    gates: GateConfig = GateConfig(),
+    classes: Sequence[int] = CLASSES,
+) -> tuple[DataFrame, DataFrame]:
+    """Train, store model and scores under ``base``; metrics and gate verdict of the test rows.
+
+    The scores are written once, one folder per split, and only the test folder is read for evaluation.
+    """
+    fitted, rows = train_and_score(corpus, text, label, key, config, classes)
+    fitted.model.write().overwrite().save(f"{base}/model")
+    stored = corpus.sparkSession.read.parquet(write_split(rows.drop(text), f"{base}/scores"))
+    test = scored_table(stored.where(F.col("split") == "test"), label)
+    return evaluate(test), model_gate_report(test, gates)
+
+
+def load_model(base: str) -> PipelineModel:
+    return PipelineModel.load(f"{base}/model")
