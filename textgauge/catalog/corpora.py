@@ -191,7 +191,7 @@ def _(spark, sf):
         round(quantile_cont(v, 0.75), 6) as q3 from (select cast(length(text) as double) as v from documents)""",
 )
 def _(spark, sf):
-    lengths = table(spark, sf, "documents").select(X.char_count("text").alias("length"))
+    lengths = X.compute_once(table(spark, sf, "documents").select("text"), length=X.char_count("text"))
     return rounded(summarize(lengths, "length", profile.QUARTILES))
 
 
@@ -225,13 +225,13 @@ _HISTOGRAM = """select cast(generated as integer) as generated, cast(bin as inte
 
 @query("length_histogram", _HISTOGRAM.format(value="cast(length(text) as double)", source=LABELLED))
 def _(spark, sf):
-    rows = labelled(spark, sf).select("generated", X.char_count("text").alias("chars"))
+    rows = X.compute_once(labelled(spark, sf).select("generated", "text"), chars=X.char_count("text"))
     return rounded(profile.length_histogram(rows, "chars", "generated"))
 
 
 @query("word_histogram", _HISTOGRAM.format(value=f"cast({sql_words('text')} as double)", source=LABELLED))
 def _(spark, sf):
-    rows = labelled(spark, sf).select("generated", X.word_count("text").alias("words"))
+    rows = X.compute_once(labelled(spark, sf).select("generated", "text"), words=X.word_count("text"))
     return rounded(profile.length_histogram(rows, "words", "generated"))
 
 
@@ -245,7 +245,7 @@ def _(spark, sf):
         count(*) filter (where not inside) as n_outliers from u group by generated""",
 )
 def _(spark, sf):
-    rows = labelled(spark, sf).select("generated", X.char_count("text").alias("chars"))
+    rows = X.compute_once(labelled(spark, sf).select("generated", "text"), chars=X.char_count("text"))
     return profile.box_summary(rows, "chars", "generated")
 
 

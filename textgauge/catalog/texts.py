@@ -10,6 +10,7 @@ from textgauge.catalog.registry import (
 )
 from textgauge.functions import labels as L
 from textgauge.functions import text as X
+from textgauge.operators import processing as P
 from textgauge.operators import profile
 from textgauge.operators.labelling import label_violations, normalize_labels
 from textgauge.operators.scoring import confidence_bands, input_status
@@ -108,8 +109,7 @@ def _(spark, sf):
     f"select doc_id, cast(length(t) as bigint) as text_length, {sql_words('t')} as word_count from (select doc_id, {sql_clean('text')} as t from documents)",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", X.clean("text").alias("t"))
-    return docs.select("doc_id", X.char_count("t").alias("text_length"), X.word_count("t").alias("word_count"))
+    return P.process_texts(table(spark, sf, "documents")).select("doc_id", "text_length", "word_count")
 
 
 @query(
@@ -162,8 +162,7 @@ def _(spark, sf):
     where n_tokens <= 500""",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", X.token_count("text").alias("n_tokens"))
-    return docs.where(F.col("n_tokens") <= 500)
+    return P.filter_tokens(table(spark, sf, "documents"), "text").select("doc_id", "n_tokens")
 
 
 @query(
@@ -172,8 +171,7 @@ def _(spark, sf):
     where text_length between 50 and 5000""",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", X.char_count(X.clean("text")).alias("text_length"))
-    return docs.where(F.col("text_length").between(50, 5000))
+    return P.filter_length(P.process_texts(table(spark, sf, "documents"))).select("doc_id", "text_length")
 
 
 @query(
@@ -193,7 +191,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    return docs.na.drop(subset=["text", "quality"]).select("doc_id", "quality")
+    return P.drop_missing(docs, "text", "quality").select("doc_id", "quality")
 
 
 @query(
@@ -201,7 +199,7 @@ def _(spark, sf):
     f"select doc_id, {sql_clean('text')} as text, cast(generated as integer) as generated, source from {LABELLED}",
 )
 def _(spark, sf):
-    return labelled(spark, sf).select("doc_id", X.clean("text").alias("text"), "generated", "source")
+    return P.finalize(P.process_texts(labelled(spark, sf)), ["doc_id"])
 
 
 @query(

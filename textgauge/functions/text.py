@@ -18,6 +18,10 @@ _LATIN_SPACE = r"\x09\x0A\x0B\x0C\x0D\x1C\x1D\x1E\x1F\x85\xA0"
 _OTHER_SPACE = r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]]"
 SPACE_NOT_BLANK = _LATIN_SPACE + _OTHER_SPACE
 SPACE = r"\x20" + SPACE_NOT_BLANK
+SPACE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 WORD = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_" + r"\p{L}\p{N}"
 KEPT_PUNCTUATION = r""".,!?;:"'\-"""
 
@@ -42,8 +46,8 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def strip(text: Column | str) -> Column:
-    """Drop white space at both ends."""
-    return F.regexp_replace(_col(text), rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    """Drop white space at both ends; only the ends are looked at."""
+    return F.trim(_col(text), F.lit(SPACE_CHARACTERS))
 
 
 def is_blank(text: Column | str) -> Column:

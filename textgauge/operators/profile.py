@@ -57,7 +57,7 @@ def balance_ratio(df: DataFrame, label: str, min_balance: float = 0.5) -> DataFr
 
 def text_length_stats(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
     """Character length: count, min, max, mean, median, sample standard deviation."""
-    lengths = df.select(*by, X.char_count(text).alias("length"))
+    lengths = X.compute_once(df.select(*by, text), length=X.char_count(text))
     return summarize(lengths, "length", {"median": 0.5}, by)
 
 
@@ -89,9 +89,9 @@ def linguistic_by_class(df: DataFrame, text: str, label: str) -> DataFrame:
 def length_histogram(df: DataFrame, value: str, label: str, bins: int = 50) -> DataFrame:
     """Equal bins over the joint range, counted per class; the last bin is closed above."""
     freq = frequencies(df, value, [label])
-    bounds = freq.agg(
-        F.struct(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high")).alias("_b")
-    ).scalar()
+    # The row count rides along so that this grouping is the same as the one below and runs once.
+    low, high, rows = F.min(value).cast("double"), F.max(value).cast("double"), F.sum("n")
+    bounds = freq.agg(F.struct(low.alias("low"), high.alias("high"), rows.alias("rows")).alias("_b")).scalar()
     placed = freq.withColumn("_b", bounds)
     low, width = F.col("_b.low"), (F.col("_b.high") - F.col("_b.low")) / F.lit(float(bins))
     slot = F.when(width > 0, F.least(F.floor((F.col(value) - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))

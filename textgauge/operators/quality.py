@@ -11,8 +11,7 @@ from pyspark.sql import types as T
 
 from textgauge.config import QualityConfig
 from textgauge.functions import text as X
-from textgauge.functions.digests import text_digest
-from textgauge.operators.dedup import duplicate_rows
+from textgauge.functions.digests import row_digest, text_digest
 
 DEFAULT = QualityConfig()
 
@@ -40,32 +39,43 @@ def check_schema(df: DataFrame, config: QualityConfig = DEFAULT) -> DataFrame:
 
 
 def check_quality(df: DataFrame, config: QualityConfig = DEFAULT) -> DataFrame:
-    """Null shares, duplicate rows, empty rows and the quality score in one row."""
-    n = F.count(F.lit(1))
-    nulls = [F.count_if(F.col(c).isNull()) for c in df.columns]
-    all_text = all(isinstance(f.dataType, T.StringType) for f in df.schema.fields)
-    empty = F.lit(True)
+    """Null shares, duplicate rows, empty rows and the quality score in one row.
+
+    Equal rows have equal nulls, so the grouping that finds duplicates counts the nulls as well: one pass.
+    """
+    empty = F.lit(all(isinstance(f.dataType, T.StringType) for f in df.schema.fields))
     for c in df.columns:
         empty = empty & F.coalesce(F.col(c) == "", F.lit(False))
-    measured = df.agg(
+    missing = {f"_m{i}": F.col(c).isNull() for i, c in enumerate(df.columns)}
+    groups = (
+        df.select(row_digest(df.columns).alias("_d"), empty.alias("_e"), *[m.alias(name) for name, m in missing.items()])
+        .groupBy("_d")
+        .agg(F.count(F.lit(1)).alias("_n"), F.bool_or("_e").alias("_e"), *[F.bool_or(name).alias(name) for name in missing])
+    )
+
+    def rows(condition: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(condition), F.col("_n"))), F.lit(0))
+
+    nulls = [rows(name) for name in missing]
+    n = F.coalesce(F.sum("_n"), F.lit(0))
+    row = groups.agg(
         n.alias("n_rows"),
-        (F.greatest(*nulls) if len(nulls) > 1 else nulls[0]).alias("_worst"),
         F.array(*nulls).alias("_nulls"),
-        (F.count_if(empty) if all_text else F.lit(0)).cast("bigint").alias("empty_rows"),
+        (n - F.count(F.lit(1))).alias("duplicate_rows"),
+        rows("_e").alias("empty_rows"),
     )
-    repeats = duplicate_rows(df).select(F.struct("n_duplicates", "duplicate_share").alias("_d")).scalar()
-    row = measured.withColumn("_d", repeats)
     some = F.col("n_rows") > 0
-    worst = F.when(some, F.col("_worst").cast("double") / F.col("n_rows"))
+    worst = F.when(some, F.array_max("_nulls").cast("double") / F.col("n_rows"))
+    repeated = F.when(some, F.col("duplicate_rows").cast("double") / F.col("n_rows"))
     over = F.size(F.filter("_nulls", lambda k: k.cast("double") / F.col("n_rows") > config.max_null_fraction))
     return row.select(
         "n_rows",
         worst.alias("worst_null_share"),
         F.when(some, over).otherwise(0).cast("bigint").alias("high_null_columns"),
-        F.col("_d.n_duplicates").alias("duplicate_rows"),
-        F.col("_d.duplicate_share").alias("duplicate_share"),
+        "duplicate_rows",
+        repeated.alias("duplicate_share"),
         "empty_rows",
-        (1.0 - worst - F.col("_d.duplicate_share")).alias("quality_score"),
+        (1.0 - worst - repeated).alias("quality_score"),
         (some & (F.coalesce(worst, F.lit(0.0)) <= config.max_null_fraction)).alias("passed"),
     )
 
@@ -125,7 +135,8 @@ def check_classes(df: DataFrame, config: QualityConfig = DEFAULT) -> DataFrame:
     """Rows and percentage per class, sufficiency, and the balance of all classes."""
     counts = df.groupBy(F.col(config.label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").cast("double")).scalar()
-    labelled = counts.where(F.col("label").isNotNull())
+    # Tested together with the count, the null filter stays above the grouping and all three uses share it.
+    labelled = counts.where(F.when(F.col("label").isNull(), 0).otherwise(F.col("n")) > 0)
     low, high, classes = F.min("n"), F.max("n"), F.count(F.lit(1))
     ratio = F.when(classes < 2, F.lit(1.0)).otherwise(low.cast("double") / high)
     overall = labelled.agg(F.struct(ratio.alias("ratio"), (low >= config.min_class_rows).alias("ok")).alias("_o")).scalar()

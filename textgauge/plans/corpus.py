@@ -18,7 +18,6 @@ from textgauge.functions import labels as L
 from textgauge.functions import text as X
 from textgauge.functions.digests import key_struct, names, numeric_key, text_digest
 from textgauge.operators.prefix import summarize
-from textgauge.operators.profile import value_counts
 from textgauge.operators.quality import validation_report
 from textgauge.operators.sampling import _common_size, _narrow, sample_rows, thresholds, within
 from textgauge.sources.inventory import list_files
@@ -164,20 +163,29 @@ def corpus_metadata(corpus: DataFrame, config: CorpusConfig = CorpusConfig()) ->
         return F.struct(F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value"))
 
     length = X.char_count(config.text)
+    # One grouping by class gives the class counts and, summed up, the whole.
+    classes = corpus.groupBy(F.col(config.label).alias("label")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(config.text).alias("texts"),
+        F.min(length).alias("low"),
+        F.max(length).alias("high"),
+        F.sum(length).alias("total"),
+    )
     fixed = [
-        row("shape", F.lit("rows"), F.count(F.lit(1))),
+        row("shape", F.lit("rows"), F.coalesce(F.sum("n"), F.lit(0))),
         row("shape", F.lit("columns"), F.lit(len(corpus.columns))),
-        row("length", F.lit("min"), F.min(length)),
-        row("length", F.lit("max"), F.max(length)),
-        row("length", F.lit("mean"), F.avg(length)),
+        row("length", F.lit("min"), F.min("low")),
+        row("length", F.lit("max"), F.max("high")),
+        row("length", F.lit("mean"), F.sum("total").cast("double") / F.nullif(F.sum("texts"), F.lit(0))),
     ]
     numbers = {k: v for k, v in config.params().items() if isinstance(v, (bool, int))}
     fixed += [row("parameter", F.lit(k), F.lit(int(v))) for k, v in numbers.items()]
-    out = corpus.agg(F.array(*fixed).alias("_r")).select(F.inline("_r"))
-    counts = value_counts(corpus, config.label).select(
-        F.lit("class").alias("section"), F.col(config.label).cast("string").alias("item"), F.col("n").cast("double").alias("value")
-    )
-    return out.unionByName(counts)
+    whole = classes.agg(F.array(*fixed).alias("_r")).select(F.inline("_r"))
+    each = row("class", F.col("label").cast("string"), F.col("n"))
+    # One test over every aggregate: nothing is pruned or pushed below the grouping, so both branches share it.
+    every = sum((F.coalesce(c, F.lit(0)) for c in ("texts", "low", "high", "total")), F.lit(0))
+    used = F.when(F.col("label").isNull(), -1).otherwise(every) >= 0
+    return whole.unionByName(classes.where(used).select(F.inline(F.array(each))))
 
 
 def length_stats(corpus: DataFrame, config: CorpusConfig = CorpusConfig()) -> DataFrame:
