@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textgauge.config import CorpusConfig, QualityConfig, ScoreConfig, SplitConfig, TrainConfig
 from textgauge.operators import quality, scoring
 from textgauge.operators.model import train
+from textgauge.operators.profile import text_length_stats
 from textgauge.plans import corpus as C
 from textgauge.plans.scoring import predictions_path, score_file
 from textgauge.plans.training import load_model, scored_table, train_and_score, training_job
@@ -71,6 +72,19 @@ def test_null_text_reads_as_none(spark):
     assert (row.too_short, row.min_length, row.unique_texts, row.empty_texts) == (3, 4, 1, 0)
 
 
+def test_sketched_figures_are_close(spark):
+    df = good(spark, 1500).unionByName(good(spark, 500))
+    exact, near = quality.check_text(df).first(), quality.check_text(df, approximate=True).first()
+    assert abs(near.unique_texts - exact.unique_texts) < 0.05 * exact.unique_texts
+    same = [c for c in exact.asDict() if c not in ("unique_texts", "diversity")]
+    assert [near[c] for c in same] == [exact[c] for c in same]
+    a = text_length_stats(df, "text", ["generated"]).orderBy("generated").collect()
+    b = text_length_stats(df, "text", ["generated"], approximate=True).orderBy("generated").collect()
+    for x, y in zip(a, b):
+        assert (x.n, x.min, x.max) == (y.n, y.min, y.max) and abs(x.median - y.median) <= 1
+        assert np.isclose(x["mean"], y["mean"]) and np.isclose(x["std"], y["std"])
+
+
 def test_empty_rows_and_empty_table(spark):
     texts = spark.createDataFrame([("", ""), ("a", ""), (None, "")], "a string, b string")
     assert quality.check_quality(texts).first().empty_rows == 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textgauge.catalog.registry import LABELLED, ROLES, SPACE, query, roles, rounded, sql_clean, sql_light, table
+from textgauge.catalog.registry import ROLES, SPACE, query, roles, rounded, sql_clean, sql_light, table
 from textgauge.config import ScoreConfig, TrainConfig
 from textgauge.operators import dedup, scoring
 from textgauge.operators.gates import gate_rows
@@ -240,5 +240,3 @@ def _(spark, sf):
     streams.write_stream(stats, target, f"{target}-checkpoint", once=True).awaitTermination()
     return rounded(readers.read_folder(spark, target))
 
-
-__all__ = ["LABELLED", "by_length", "picky"]

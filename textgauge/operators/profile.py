@@ -55,10 +55,25 @@ def balance_ratio(df: DataFrame, label: str, min_balance: float = 0.5) -> DataFr
     )
 
 
-def text_length_stats(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
-    """Character length: count, min, max, mean, median, sample standard deviation."""
+def text_length_stats(df: DataFrame, text: str, by: Sequence[str] = (), approximate: bool = False) -> DataFrame:
+    """Character length: count, min, max, mean, median, sample standard deviation.
+
+    ``approximate`` takes the median from a sketch: a single aggregate, without interpolation.
+    """
     lengths = X.compute_once(df.select(*by, text), length=X.char_count(text))
-    return summarize(lengths, "length", {"median": 0.5}, by)
+    if not approximate:
+        return summarize(lengths, "length", {"median": 0.5}, by)
+    for b in by:
+        lengths = lengths.where(F.col(b).isNotNull())
+    length = F.col("length")
+    return lengths.groupBy(*by).agg(
+        F.count(length).alias("n"),
+        F.min(length).alias("min"),
+        F.max(length).alias("max"),
+        F.avg(length).alias("mean"),
+        F.stddev(length).alias("std"),
+        F.percentile_approx(length, 0.5, 10000).cast("double").alias("median"),
+    )
 
 
 def _measures(df: DataFrame, text: str, label: str) -> DataFrame:

@@ -80,17 +80,22 @@ def check_quality(df: DataFrame, config: QualityConfig = DEFAULT) -> DataFrame:
     )
 
 
-def check_text(df: DataFrame, config: QualityConfig = DEFAULT) -> DataFrame:
+def check_text(df: DataFrame, config: QualityConfig = DEFAULT, approximate: bool = False) -> DataFrame:
     """Length limits, blank texts and diversity; a null text reads as ``None``.
 
-    Copies of a text are combined first, so one grouping by digest serves every figure.
+    Copies of a text are combined first, so one grouping by digest serves every figure.  ``approximate``
+    counts distinct texts with a sketch instead, which needs no grouping; all other figures stay exact.
     """
     text = F.coalesce(F.col(config.text), F.lit("None"))
-    texts = (
-        df.select(text_digest(text).alias("_d"), X.char_count(text).alias("_l"), X.is_blank(text).alias("_b"))
-        .groupBy("_d")
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_l").alias("_l"), F.bool_or("_b").alias("_b"))
-    )
+    texts = df.select(text_digest(text).alias("_d"), X.char_count(text).alias("_l"), X.is_blank(text).alias("_b"))
+    if approximate:
+        texts = texts.withColumn("_n", F.lit(1))
+        distinct = F.approx_count_distinct("_d", 0.01)
+    else:
+        texts = texts.groupBy("_d").agg(
+            F.count(F.lit(1)).alias("_n"), F.max("_l").alias("_l"), F.bool_or("_b").alias("_b")
+        )
+        distinct = F.count(F.lit(1))
 
     def rows(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0))
@@ -101,13 +106,13 @@ def check_text(df: DataFrame, config: QualityConfig = DEFAULT) -> DataFrame:
         n.alias("n_rows"),
         F.min("_l").alias("min_length"),
         F.max("_l").alias("max_length"),
-        (F.sum(F.col("_l") * F.col("_n")).cast("double") / n).alias("mean_length"),
+        (F.sum(F.col("_l") * F.col("_n")).cast("double") / F.nullif(n, F.lit(0))).alias("mean_length"),
         rows(short).alias("too_short"),
         rows(long).alias("too_long"),
         rows(~short & ~long).alias("within_range"),
         rows(F.col("_b")).alias("empty_texts"),
-        F.count(F.lit(1)).alias("unique_texts"),
-        F.when(n > 0, F.count(F.lit(1)).cast("double") / n).alias("diversity"),
+        distinct.alias("unique_texts"),
+        F.when(n > 0, distinct.cast("double") / n).alias("diversity"),
     )
     passed = (F.col("too_short") == 0) & (F.col("too_long") == 0) & (F.col("empty_texts") == 0)
     return out.withColumn("passed", (F.col("n_rows") > 0) & passed)

@@ -24,7 +24,11 @@ def score_file(
     target: str | None = None,
     config: ScoreConfig = ScoreConfig(),
     schema: T.StructType | str | None = None,
+    format: str | None = None,
 ) -> str:
-    """Score a CSV or Parquet table and write the same rows with their scores."""
-    rows = require_columns(read_table(spark, source, schema), config.text)
+    """Score a CSV or Parquet table and write the same rows with their scores.
+
+    ``format`` names the input format where the path has no suffix.
+    """
+    rows = require_columns(read_table(spark, source, schema, format), config.text)
     return write_table(score_texts(rows, predictor, config), target or predictions_path(source))
