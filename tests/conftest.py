@@ -14,6 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()
 

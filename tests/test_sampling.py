@@ -148,6 +148,33 @@ def test_corpus(spark, balance, key):
             assert built.count() == len(expected(balance)) and {r.text for r in built.collect()} <= {r[1] for r in want}
 
 
+def stored(spark, folder):
+    def store(name, build):
+        build().write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    return store
+
+
+@pytest.mark.parametrize("balance", [True, False])
+@pytest.mark.parametrize("dedup_on", [True, False])
+def test_stages_give_the_same_corpus(spark, tmp_path, balance, dedup_on):
+    config = CorpusConfig(balance=balance, drop_duplicates=dedup_on)
+    df = C.label_rows(raw(spark), config)
+    built = sorted(map(tuple, C.build_corpus(df, "k", config).collect()))
+    staged = C.build_corpus_in_stages(df, "k", config, stored(spark, tmp_path / "a"))
+    assert sorted(map(tuple, staged.collect())) == built
+    if dedup_on:
+        plan = staged._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # surplus keys of any size
+    try:
+        staged = C.build_corpus_in_stages(df, "k", config, stored(spark, tmp_path / "b"))
+        assert sorted(map(tuple, staged.collect())) == built
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_corpus_without_dedup_or_other_labels(spark):
     df = C.label_rows(raw(spark))
     kept = C.build_corpus(df, "k", CorpusConfig(balance=False, drop_duplicates=False)).collect()

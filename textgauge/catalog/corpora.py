@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textgauge.catalog.registry import (
-    LABELLED, ROLES, SPACE, labelled, query, roles, rounded, sql_clean, sql_words, table,
+    AI, HUMAN, LABELLED, ROLES, SPACE, labelled, query, roles, rounded, sql_clean, sql_words, table,
 )
-from textgauge.config import CorpusConfig
+from textgauge.config import CorpusConfig, QualityConfig
 from textgauge.functions import text as X
 from textgauge.operators import dedup, profile, sampling, vocabulary
 from textgauge.operators.prefix import summarize
 from textgauge.plans import corpus as C
+from textgauge.session import scratch_path
 
 ORDER = "md5('42|' || doc_id), doc_id"
 
@@ -342,6 +343,14 @@ def _(spark, sf):
     return C.build_corpus(labelled(spark, sf), "doc_id", CorpusConfig(balance=False))
 
 
+@query("corpus_job", corpus_sql(LABELLED, "doc_id", "text", "source"))
+def _(spark, sf):
+    return C.corpus_job(
+        spark, sf, scratch_path(spark, "corpus"), "doc_id", quality=QualityConfig(min_class_rows=1),
+        filename="documents.parquet", human=HUMAN, ai=AI,
+    )
+
+
 @query(
     "corpus_class_counts",
     f"select generated, count(*) as n from {corpus_sql(ROLES, 'conv_id, turn', 'text', 'role')} group by generated",

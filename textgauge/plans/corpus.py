@@ -3,12 +3,18 @@
 Deciding which rows stay needs no text in a shuffle.  A first, narrow pass carries key, class, digest and
 cleaned length; it finds the kept copy of each text and the balancing thresholds.  The second pass reads
 the texts, drops what fails the length limit or lies beyond its class threshold while still map-side, and
-meets the kept keys in one semi-join.
+then meets the outcome of the first pass by key:
+
+- ``build_corpus`` is one lazy plan and semi-joins the kept keys;
+- ``corpus_job`` stores the narrow tables in between and anti-joins the *surplus* keys, the later copies of
+  each text.  They are few as a rule, and as a stored table their size is known when the join is planned:
+  Spark broadcasts them if they lie below its threshold, and then no text is shuffled at all; beyond it the
+  join shuffles as usual.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,74 +51,106 @@ def _clean(config: CorpusConfig) -> Column:
     return X.clean(config.text, drop_special=config.drop_special, lowercase=config.lowercase)
 
 
-def _kept_copies(df: DataFrame, key, config: CorpusConfig, classes: Sequence[int]) -> DataFrame:
-    """Narrow rows ``key..., _label`` of the kept copies that have a text and a label and fit the length limits.
+def _first_copies(df: DataFrame, key, config: CorpusConfig, classes: Sequence[int]) -> DataFrame:
+    """Narrow rows ``key..., _label, _fits``: of equal texts the row with the smallest key.
 
-    Of equal texts the row with the smallest key is kept, and its label decides.  ``_label`` is null for a
-    label outside ``classes``.
+    ``_fits`` tells whether it has a text and a label and keeps the length limits; the label is that of the
+    kept row, null if it is outside ``classes``.
     """
     cols = names(key)
     length = F.when(F.col(config.text).isNotNull(), X.char_count(_clean(config)))
-    fits = F.col("_length").between(config.min_length, config.max_length)
+    in_limits = F.coalesce(F.col("_length").between(config.min_length, config.max_length), F.lit(False))
     if not config.drop_duplicates:
-        rows = X.compute_once(df.select(*cols, config.text, F.col(config.label).alias("_label")), _length=length)
-        return rows.where(fits & F.col("_label").isNotNull()).select(*cols, "_label")
+        rows = df.select(*cols, F.col(config.label).alias("_label"), length.alias("_length"))
+        return rows.select(*cols, "_label", (in_limits & F.col("_label").isNotNull()).alias("_fits"))
     narrow = df.select(
         text_digest(config.text).alias("_digest"), *cols, F.col(config.label).alias("_label"), length.alias("_length")
     )
     number = numeric_key(df, key)
     if number is None:
         first = F.min(F.struct(key_struct(cols).alias("k"), F.col("_label").alias("label"))).alias("_f")
-        kept = narrow.groupBy("_digest").agg(first, F.max("_length").alias("_length"))
-        kept = kept.where(fits & F.col("_f.label").isNotNull())
-        return kept.select(*[F.col(f"_f.k.{c}").alias(c) for c in cols], F.col("_f.label").alias("_label"))
-    # Fixed-width minima per class keep this a hash aggregate: the class whose smallest key is the
-    # smallest of all is the class of the kept copy.
-    k = F.col(number)
-    minima = [F.min(F.when(F.col("_label") == c, k)).alias(f"_k{i}") for i, c in enumerate(classes)]
-    kept = narrow.groupBy("_digest").agg(
-        F.min(k).alias(number),
-        F.min(F.when(F.col("_label").isNotNull(), k)).alias("_known"),
-        F.max("_length").alias("_length"),
-        *minima,
+        copies = narrow.groupBy("_digest").agg(first, F.max("_length").alias("_length"))
+        label, labelled = F.col("_f.label"), F.col("_f.label").isNotNull()
+        kept = [F.col(f"_f.k.{c}").alias(c) for c in cols]
+    else:
+        # Fixed-width minima per class keep this a hash aggregate: the class whose smallest key is the
+        # smallest of all is the class of the kept copy.
+        k = F.col(number)
+        minima = [F.min(F.when(F.col("_label") == c, k)).alias(f"_k{i}") for i, c in enumerate(classes)]
+        copies = narrow.groupBy("_digest").agg(
+            F.min(k).alias(number),
+            F.min(F.when(F.col("_label").isNotNull(), k)).alias("_known"),
+            F.max("_length").alias("_length"),
+            *minima,
+        )
+        label, labelled = F.lit(None).cast(df.schema[config.label].dataType), F.col("_known") == k
+        for i, c in enumerate(classes):
+            label = F.when(F.col(f"_k{i}") == k, F.lit(c)).otherwise(label)
+        kept = [k]
+    return copies.select(
+        *kept, label.alias("_label"), (in_limits & F.coalesce(labelled, F.lit(False))).alias("_fits")
     )
-    label = F.lit(None).cast(df.schema[config.label].dataType)
-    for i, c in enumerate(classes):
-        label = F.when(F.col(f"_k{i}") == k, F.lit(c)).otherwise(label)
-    return kept.where(fits & (F.col("_known") == k)).select(number, label.alias("_label"))
 
 
-def build_corpus(
-    df: DataFrame, key, config: CorpusConfig = CorpusConfig(), classes: Sequence[int] = CLASSES
-) -> DataFrame:
-    """``key..., text, label[, source]`` of the finished corpus; ``df`` already has its label column.
+def _class_limits(firsts: DataFrame, cols: list[str], config: CorpusConfig, classes: Sequence[int]) -> Column:
+    """Balancing thresholds from the first copies that fit."""
+    narrow = _narrow(firsts.where("_fits"), cols, config.seed, "_label", classes)
+    common = _common_size(narrow, None)
+    return thresholds(narrow, [lambda size: F.coalesce(common, size)])
 
-    Rows of other than the listed classes stay only if balancing is off.
-    """
-    cols = names(key)
-    kept = _kept_copies(df, key, config, classes)
+
+def _candidates(df: DataFrame, cols: list[str], config: CorpusConfig, classes: Sequence[int], limits: Column | None) -> DataFrame:
+    """Finished rows that pass everything a row can be judged by on its own, the cheap tests first."""
     out = [*cols, config.text, config.label] + ([config.source] if config.source in df.columns else [])
-    # Everything a row can be judged by on its own comes before the join, the cheap tests first.
     texts = df.where(F.col(config.text).isNotNull() & F.col(config.label).isNotNull())
     texts = texts.where(F.length(config.text) >= config.min_length)  # cleaning never lengthens a text
-    if config.balance:
-        narrow = _narrow(kept, cols, config.seed, "_label", classes)
-        common = _common_size(narrow, None)
-        limits = thresholds(narrow, [lambda size: F.coalesce(common, size)])
+    if limits is not None:
         texts = texts.where(
             F.col(config.label).isin(*classes) & within(limits, F.col(config.label), 0, cols, config.seed)
         )
     texts = X.compute_once(texts.select(*out), _clean=_clean(config))
     texts = texts.where(F.length("_clean").between(config.min_length, config.max_length))
-    texts = texts.select(*[F.col("_clean").alias(c) if c == config.text else F.col(c) for c in out])
+    return texts.select(*[F.col("_clean").alias(c) if c == config.text else F.col(c) for c in out])
+
+
+def build_corpus(
+    df: DataFrame, key, config: CorpusConfig = CorpusConfig(), classes: Sequence[int] = CLASSES
+) -> DataFrame:
+    """``key..., text, label[, source]`` of the finished corpus; ``df`` already has its label column.
+
+    Rows of other than the listed classes stay only if balancing is off.
+    """
+    cols = names(key)
+    firsts = _first_copies(df, key, config, classes)
+    limits = _class_limits(firsts, cols, config, classes) if config.balance else None
+    texts = _candidates(df, cols, config, classes, limits)
     if not config.drop_duplicates:
         return texts
+    kept = firsts.where("_fits")
     if not config.balance:
-        return texts.join(kept.select(*cols), cols, "left_semi").select(*out)
-    # Joining on the class too keeps it in the plan: the grouping behind ``kept`` is then the very one the
+        return texts.join(kept.select(*cols), cols, "left_semi").select(*texts.columns)
+    # Joining on the class too keeps it in the plan: the grouping behind ``firsts`` is then the very one the
     # thresholds use, and its shuffle is made once.
     same = kept.select(*cols, F.col("_label").alias(config.label))
-    return texts.join(same, [*cols, config.label], "left_semi").select(*out)
+    return texts.join(same, [*cols, config.label], "left_semi").select(*texts.columns)
+
+
+def build_corpus_in_stages(
+    df: DataFrame,
+    key,
+    config: CorpusConfig,
+    store: Callable[[str, Callable[[], DataFrame]], DataFrame],
+    classes: Sequence[int] = CLASSES,
+) -> DataFrame:
+    """The same rows as ``build_corpus``; ``store(name, build)`` writes a table once and reads it back."""
+    cols = names(key)
+    firsts = store("firsts", lambda: _first_copies(df, key, config, classes))
+    limits = _class_limits(firsts, cols, config, classes) if config.balance else None
+    texts = _candidates(df, cols, config, classes, limits)
+    if not config.drop_duplicates:
+        return texts
+    surplus = store("surplus", lambda: df.select(*cols).join(firsts.select(*cols), cols, "left_anti"))
+    return texts.join(surplus, cols, "left_anti").select(*texts.columns)
 
 
 def corpus_funnel(df: DataFrame, key, config: CorpusConfig = CorpusConfig()) -> DataFrame:
@@ -206,24 +244,28 @@ def corpus_job(
     key,
     config: CorpusConfig = CorpusConfig(),
     quality: QualityConfig = QualityConfig(),
+    filename: str | None = None,
     sample: int | None = None,
+    human: Sequence[str] = L.HUMAN_SOURCES,
+    ai: Sequence[str] = L.AI_SOURCES,
 ) -> DataFrame:
     """Read, label, build and check a corpus under ``base``; the finished table, or an error if it fails the gate.
 
     Each stage is stored under the fingerprint of everything that shapes it, the input's files included,
     and read instead of built while that stays the same.
     """
-    files = list_files(spark, source, "*.parquet").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
-    params = {"source": source, "files": files["n"], "bytes": files["size"], "key": names(key), "sample": sample}
-    params.update(config.params())
-
-    def build() -> DataFrame:
-        raw = require_columns(read_corpus(spark, source), *names(key), config.text, config.source)
-        raw = raw.select(*names(key), config.text, config.source)
-        return build_corpus(label_rows(sample_rows(raw, sample, key, config.seed) if sample else raw, config), key, config)
-
-    corpus = cached_stage(spark, base, "corpus", params, build)
+    files = list_files(spark, source, filename or "*.parquet")
+    size = files.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.max("modified").alias("at")).first()
+    params = {"source": source, "file": filename, **size.asDict(), "key": names(key), "sample": sample}
+    params.update(human=list(human), ai=list(ai), **config.params())
+
+    def store(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return cached_stage(spark, base, name, params, build)
+
+    raw = require_columns(read_corpus(spark, source, filename), *names(key), config.text, config.source)
+    raw = raw.select(*names(key), config.text, config.source)
+    raw = label_rows(sample_rows(raw, sample, key, config.seed) if sample else raw, config, human, ai)
+    corpus = store("corpus", lambda: build_corpus_in_stages(raw, key, config, store))
     limits = {**params, "quality": str(quality)}
-    report = cached_stage(spark, base, "report", limits, lambda: validation_report(corpus, quality))
-    require_passed(report)
+    require_passed(cached_stage(spark, base, "report", limits, lambda: validation_report(corpus, quality)))
     return corpus
