@@ -73,7 +73,7 @@ def from_score_label(label: Column) -> Column:
     return (
         F.when(up.isin(*HUMAN_SCORE_LABELS), HUMAN)
         .when(up.isin(*AI_SCORE_LABELS), AI)
-        .when(digits != "", digits.cast("int"))
+        .when(digits != "", digits.try_cast("int"))
         .otherwise(HUMAN)
         .cast("int")
     )

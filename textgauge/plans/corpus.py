@@ -52,24 +52,26 @@ def _clean(config: CorpusConfig) -> Column:
 
 
 def _first_copies(df: DataFrame, key, config: CorpusConfig, classes: Sequence[int]) -> DataFrame:
-    """Narrow rows ``key..., _label, _fits``: of equal texts the row with the smallest key.
+    """Narrow rows, of equal texts the one with the smallest key:
+    ``key..., _label, _copies, _has_text, _labelled, _fits``.
 
-    ``_fits`` tells whether it has a text and a label and keeps the length limits; the label is that of the
-    kept row, null if it is outside ``classes``.
+    ``_fits`` tells whether the row has a text and a label and keeps the length limits; the label is that of
+    the kept row, null if it is outside ``classes``.
     """
     cols = names(key)
     length = F.when(F.col(config.text).isNotNull(), X.char_count(_clean(config)))
     in_limits = F.coalesce(F.col("_length").between(config.min_length, config.max_length), F.lit(False))
     if not config.drop_duplicates:
         rows = df.select(*cols, F.col(config.label).alias("_label"), length.alias("_length"))
-        return rows.select(*cols, "_label", (in_limits & F.col("_label").isNotNull()).alias("_fits"))
+        labelled = F.col("_label").isNotNull()
+        return rows.select(*cols, *_flags(F.col("_label"), F.lit(1).cast("bigint"), labelled, in_limits))
     narrow = df.select(
         text_digest(config.text).alias("_digest"), *cols, F.col(config.label).alias("_label"), length.alias("_length")
     )
-    number = numeric_key(df, key)
+    number, copies_of = numeric_key(df, key), F.count(F.lit(1)).alias("_copies")
     if number is None:
         first = F.min(F.struct(key_struct(cols).alias("k"), F.col("_label").alias("label"))).alias("_f")
-        copies = narrow.groupBy("_digest").agg(first, F.max("_length").alias("_length"))
+        copies = narrow.groupBy("_digest").agg(copies_of, first, F.max("_length").alias("_length"))
         label, labelled = F.col("_f.label"), F.col("_f.label").isNotNull()
         kept = [F.col(f"_f.k.{c}").alias(c) for c in cols]
     else:
@@ -78,6 +80,7 @@ def _first_copies(df: DataFrame, key, config: CorpusConfig, classes: Sequence[in
         k = F.col(number)
         minima = [F.min(F.when(F.col("_label") == c, k)).alias(f"_k{i}") for i, c in enumerate(classes)]
         copies = narrow.groupBy("_digest").agg(
+            copies_of,
             F.min(k).alias(number),
             F.min(F.when(F.col("_label").isNotNull(), k)).alias("_known"),
             F.max("_length").alias("_length"),
@@ -87,9 +90,17 @@ def _first_copies(df: DataFrame, key, config: CorpusConfig, classes: Sequence[in
         for i, c in enumerate(classes):
             label = F.when(F.col(f"_k{i}") == k, F.lit(c)).otherwise(label)
         kept = [k]
-    return copies.select(
-        *kept, label.alias("_label"), (in_limits & F.coalesce(labelled, F.lit(False))).alias("_fits")
-    )
+    return copies.select(*kept, *_flags(label, F.col("_copies"), F.coalesce(labelled, F.lit(False)), in_limits))
+
+
+def _flags(label: Column, copies: Column, labelled: Column, in_limits: Column) -> list[Column]:
+    return [
+        label.alias("_label"),
+        copies.alias("_copies"),
+        F.col("_length").isNotNull().alias("_has_text"),
+        (F.col("_length").isNotNull() & labelled).alias("_labelled"),
+        (in_limits & labelled).alias("_fits"),
+    ]
 
 
 def _class_limits(firsts: DataFrame, cols: list[str], config: CorpusConfig, classes: Sequence[int]) -> Column:
@@ -144,7 +155,7 @@ def build_corpus_in_stages(
 ) -> DataFrame:
     """The same rows as ``build_corpus``; ``store(name, build)`` writes a table once and reads it back."""
     cols = names(key)
-    firsts = store("firsts", lambda: _first_copies(df, key, config, classes))
+    firsts = store("firsts", lambda: _first_copies(df, key, config, classes).select(*cols, "_label", "_fits"))
     limits = _class_limits(firsts, cols, config, classes) if config.balance else None
     texts = _candidates(df, cols, config, classes, limits)
     if not config.drop_duplicates:
@@ -153,31 +164,23 @@ def build_corpus_in_stages(
     return texts.join(surplus, cols, "left_anti").select(*texts.columns)
 
 
-def corpus_funnel(df: DataFrame, key, config: CorpusConfig = CorpusConfig()) -> DataFrame:
-    """Rows left after each step, from one grouping of narrow rows: (step, position, n)."""
-    digest = text_digest(config.text) if config.drop_duplicates else key_struct(key)
-    narrow = df.select(
-        digest.alias("_d"),
-        key_struct(key).alias("_k"),
-        F.col(config.label).alias("_label"),
-        F.when(F.col(config.text).isNotNull(), X.char_count(_clean(config))).alias("_length"),
-    )
-    texts = narrow.groupBy("_d").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(F.struct("_k", "_label")).alias("_f"), F.max("_length").alias("_length")
-    )
-    has_text = F.col("_length").isNotNull()
-    labelled = has_text & F.col("_f._label").isNotNull()
-    fits = labelled & F.col("_length").between(config.min_length, config.max_length)
+def corpus_funnel(
+    df: DataFrame, key, config: CorpusConfig = CorpusConfig(), classes: Sequence[int] = CLASSES
+) -> DataFrame:
+    """Rows left after each step, from the narrow grouping of ``build_corpus``: (position, step, n)."""
     per_class = (
-        texts.select(F.when(fits, F.col("_f._label")).alias("label"), "_n", has_text.alias("_t"), labelled.alias("_o"))
-        .groupBy("label")
+        _first_copies(df, key, config, classes)
+        .groupBy(F.when(F.col("_fits"), F.col("_label")).alias("label"))
         .agg(
-            F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("texts"),
-            F.count_if("_t").alias("with_text"), F.count_if("_o").alias("with_label"),
+            F.sum("_copies").alias("rows"),
+            F.count(F.lit(1)).alias("texts"),
+            F.count_if("_has_text").alias("with_text"),
+            F.count_if("_labelled").alias("with_label"),
+            F.count_if("_fits").alias("fitting"),
         )
-    )
+    )
     inside = F.col("label").isNotNull()
-    n_inside = F.coalesce(F.sum(F.when(inside, F.col("texts"))), F.lit(0))
+    n_inside = F.coalesce(F.sum("fitting"), F.lit(0))
     balanced = F.coalesce(F.min(F.when(inside, F.col("texts"))) * F.count_if(inside), F.lit(0))
     steps = {
         "input": F.coalesce(F.sum("rows"), F.lit(0)),
