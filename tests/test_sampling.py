@@ -98,6 +98,9 @@ def test_dedup_keeps_smallest_key_under_skew(spark):
     row = dedup.duplicate_texts(df, "t").first()
     assert (row.n_rows, row.n_distinct, row.n_duplicates) == (900, len(want), 900 - len(want))
     assert dedup.duplicate_rows(df).first().n_duplicates == 0
+    pairs = spark.createDataFrame([(1, 0.0), (1, -0.0), (None, None), (None, None), (2, 0.0)], "a int, b double")
+    assert dedup.duplicate_rows(pairs).first().n_duplicates == 2
+    assert dedup.duplicate_rows(pairs, ["a"]).first().n_duplicates == 2
     empty = dedup.duplicate_texts(df.limit(0), "t").first()
     assert (empty.n_rows, empty.n_duplicates, empty.duplicate_share) == (0, 0, None)
 

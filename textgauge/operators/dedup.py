@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textgauge.functions.digests import key_struct, names, row_digest, text_digest
 
@@ -41,15 +42,25 @@ def _surplus(groups: DataFrame) -> DataFrame:
     )
 
 
-def _groups(df: DataFrame, digest: Column) -> DataFrame:
-    return df.select(digest.alias("_d")).groupBy("_d").agg(F.count(F.lit(1)).alias("_n"))
+def _groups(df: DataFrame, identity: Sequence[Column]) -> DataFrame:
+    named = [c.alias(f"_d{i}") for i, c in enumerate(identity)]
+    return df.select(*named).groupBy(*[f"_d{i}" for i in range(len(named))]).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _row_identity(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """What equal rows share: a digest, or the columns themselves where they are no wider than one."""
+    narrow = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if len(columns) <= 4 and all(isinstance(df.schema[c].dataType, narrow) for c in columns):
+        return [F.col(c) for c in columns]
+    return [row_digest(columns)]
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier row in all (or the given) columns."""
-    return _surplus(_groups(df, row_digest(list(columns or df.columns))))
+    columns = list(columns or df.columns)
+    return _surplus(_groups(df, _row_identity(df, columns)))
 
 
 def duplicate_texts(df: DataFrame, text: str) -> DataFrame:
     """Rows that repeat an earlier text."""
-    return _surplus(_groups(df, text_digest(text)))
+    return _surplus(_groups(df, [text_digest(text)]))
