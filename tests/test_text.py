@@ -7,10 +7,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from textgauge.config import CorpusConfig
 from textgauge.functions import labels as L
 from textgauge.functions import text as X
 from textgauge.operators import profile
 from textgauge.operators.labelling import label_violations, normalize_labels
+from textgauge.operators.processing import filter_length, filter_tokens, finalize, process_texts
 from textgauge.operators.scoring import confidence_bands, input_status
 
 EDGES = [
@@ -65,6 +67,22 @@ def test_edges(spark):
     check(spark, EDGES)
 
 
+@pytest.mark.parametrize("special", [False, True])
+def test_processed_columns(spark, special):
+    df = spark.createDataFrame(list(enumerate([*EDGES, "a @ b", " @ "])), "i int, text string")
+    rows = process_texts(df, CorpusConfig(drop_special=special)).orderBy("i").collect()
+    for r in rows:
+        want = py_clean(r.text, special)
+        assert (r.processed_text, r.text_length, r.word_count) == (want, len(want), len(want.split()))
+    limits = CorpusConfig(drop_special=special, min_length=3, max_length=9)
+    kept = {r.i for r in filter_length(process_texts(df, limits), limits).collect()}
+    assert kept == {r.i for r in rows if 3 <= r.text_length <= 9}
+    few = filter_tokens(df.na.drop(), "text", 3).collect()
+    assert few and all(r.n_tokens <= 3 for r in few)
+    final = finalize(process_texts(df.withColumn("generated", F.lit(1))), ["i"])
+    assert final.columns == ["i", "text", "generated"]
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(st.sampled_from("aZ9 \t\n  é中.!?,;'\"-_@#²\U0001f600"), max_size=40), min_size=20, max_size=60))
 def test_generated(spark, texts):

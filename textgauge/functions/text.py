@@ -87,6 +87,12 @@ def word_count(text: Column | str) -> Column:
     return F.regexp_count(_col(text), F.lit(NON_SPACE_RUN)).cast("bigint")
 
 
+def word_count_of_clean(text: Column | str) -> Column:
+    """Words of a text whose white space is single blanks: one more than the blanks."""
+    text = _col(text)
+    return F.when(text == "", 0).otherwise(count_of(text, " ") + 1).cast("bigint")
+
+
 def char_count(text: Column | str) -> Column:
     return F.length(_col(text)).cast("bigint")
 

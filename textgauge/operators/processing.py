@@ -13,8 +13,10 @@ def process_texts(df: DataFrame, config: CorpusConfig = CorpusConfig()) -> DataF
     """Add ``processed_text``, ``text_length`` and ``word_count``; the text is cleaned once."""
     cleaned = X.clean(config.text, drop_special=config.drop_special, lowercase=config.lowercase)
     done = X.compute_once(df, processed_text=cleaned)
+    # Dropping special characters can leave two blanks in a row.
+    count = X.word_count if config.drop_special else X.word_count_of_clean
     return done.withColumn("text_length", X.char_count("processed_text")).withColumn(
-        "word_count", X.word_count("processed_text")
+        "word_count", count("processed_text")
     )
 
 
