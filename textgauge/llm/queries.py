@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textgauge.catalog.registry import table
-from textgauge.llm import hilbert, mixing
+from textgauge.llm import hilbert, language, mixing, packing, simhash, wavelet, weighted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,28 @@ def _(spark, sf):
 @query("op8_hilbert_shards")
 def _(spark, sf):
     return hilbert.shard_by_curve(table(spark, sf, "documents"))
+
+
+@query("op10_nnls_packing")
+def _(spark, sf):
+    return packing.packed_digest(*packing.pack(table(spark, sf, "documents")))
+
+
+@query("op2_simhash_groups")
+def _(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op9_wavelet_tokens")
+def _(spark, sf):
+    return wavelet.token_digest(spark, table(spark, sf, "documents"))
+
+
+@query("op4_ppm_languages")
+def _(spark, sf):
+    return language.held_out_languages(table(spark, sf, "documents"))
+
+
+@query("op5_weighted_fingerprints")
+def _(spark, sf):
+    return weighted.compare_edited(table(spark, sf, "documents"))
