@@ -228,7 +228,7 @@ def write_tokens(
     wanted = max(1, -(-total // bytes_per_task), docs.sparkSession.sparkContext.defaultParallelism)
     ordered = rows.select(F.col("doc_id").cast("long"), F.col("_text").cast("binary"))
     ordered = ordered.repartitionByRange(int(wanted), "doc_id").sortWithinPartitions("doc_id")
-    schema = "part int, number int, file string, n_ids long, n_docs long, n_bytes long"
+    schema = "part long, number long, file string, n_ids long, n_docs long, n_bytes long"
     write = _write(folder, tokenizer or tokenizer_path(), end, tokens_per_file)
     listed = stored(ordered.mapInArrow(write, schema), "wavelet-files")
     # One row per file of millions of ids.
