@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textgauge.catalog.registry import table
-from textgauge.llm import hilbert, language, mixing, packing, simhash, wavelet, weighted
+from textgauge.llm import hilbert, language, mixing, packing, secrets, simhash, toxicity, wavelet, weighted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,13 @@ def _(spark, sf):
 @query("op5_weighted_fingerprints")
 def _(spark, sf):
     return weighted.compare_edited(table(spark, sf, "documents"))
+
+
+@query("op6_markov_secrets")
+def _(spark, sf):
+    return secrets.secret_digest(table(spark, sf, "documents"))
+
+
+@query("op7_cnn_toxicity")
+def _(spark, sf):
+    return toxicity.held_out_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
