@@ -17,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -225,15 +226,19 @@ def held_out_languages(docs: DataFrame) -> DataFrame:
     return identify(docs, trees).select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-def recognised(docs: DataFrame, trees: ContextTrees, least_score: float = 0.0, text: str = "text") -> DataFrame:
-    """The rows whose text is in a known language with at least this score; their columns as they were."""
+def recognised(docs: DataFrame, trees: ContextTrees, most_bits: float = 6.0, text: str = "text") -> DataFrame:
+    """The rows whose text is in a known language; their columns as they were.
+
+    Rejected are null texts, texts without letters, and texts whose code in their best language takes more than
+    ``most_bits`` a byte, hardly less than without any model.
+    """
     model = Shared(docs, trees)
 
-    @F.pandas_udf("double")
-    def score(batches):
+    @F.pandas_udf("boolean")
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = shared_scorer(model)
         for texts in batches:
             found = map(scorer.predict, (t if isinstance(t, str) else None for t in texts))
-            yield texts.__class__([-1.0 if lang == UNKNOWN else own for lang, own, _ in found], dtype="float64")
+            yield pd.Series([lang != UNKNOWN and bits <= most_bits for lang, _, bits in found], dtype=bool)
 
-    return docs.filter(score(F.col(text)) >= least_score)
+    return docs.filter(known(F.col(text)))

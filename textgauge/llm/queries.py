@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textgauge.catalog.registry import table
-from textgauge.llm import hilbert, language, mixing, packing, secrets, simhash, toxicity, wavelet, weighted
+from textgauge.llm import embeddings, hilbert, language, mixing, packing, secrets, simhash, toxicity, wavelet, weighted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +101,8 @@ def _(spark, sf):
 @query("op7_cnn_toxicity")
 def _(spark, sf):
     return toxicity.held_out_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op3_pq_neighbours")
+def _(spark, sf):
+    return embeddings.near_duplicates(table(spark, sf, "embeddings"))

@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and two character Markov models for what no pattern names.
 
-Two chains of order two over character classes and letters are trained from labelled samples, one on random strings (keys,
+Two chains of order two over characters are trained from labelled samples, one on random strings (keys,
 tokens, digests), one on ordinary identifiers and words.  A run of key characters is a secret where the
 log-likelihood ratio of the two chains, per character and in total, exceeds limits set on the labelled samples.
 
@@ -13,13 +13,13 @@ with few secrets trains the same model.
 from __future__ import annotations
 
 import hashlib
-import math
 import random
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -227,7 +227,7 @@ def masked(docs: DataFrame, detector: Detector, mask: str = "[secret]", text: st
     model = Shared(docs, detector)
 
     @F.pandas_udf("string")
-    def hide(batches):
+    def hide(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = model.value
         for texts in batches:
             out = []
@@ -243,7 +243,7 @@ def masked(docs: DataFrame, detector: Detector, mask: str = "[secret]", text: st
                     for start, end in reversed(merged):
                         value = value[:start] + mask + value[end:]
                 out.append(value if isinstance(value, str) else None)
-            yield texts.__class__(out, dtype="object")
+            yield pd.Series(out, dtype=object)
 
     out = docs.withColumn(text, hide(F.col(text)))
     if length in docs.columns:
@@ -251,6 +251,3 @@ def masked(docs: DataFrame, detector: Detector, mask: str = "[secret]", text: st
         out = out.withColumn(length, F.when(F.col(text).isNull(), F.col(length)).otherwise(same))
     return out.select(*docs.columns)
 
-
-def bits_per_character(ratio: float, characters: int) -> float:
-    return ratio / math.log(2) / max(1, characters)
