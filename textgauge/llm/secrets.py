@@ -74,8 +74,8 @@ class Chain:
                 three[a, b, c] += n
                 a, b = b, c
         p1 = (one[:N] + 1) / (one.sum() + N)
-        p2 = (two + 8 * p1) / (two.sum(1, keepdims=True) + 8)
-        self.log = np.log((three + 8 * p2[None]) / (three.sum(2, keepdims=True) + 8)).astype(np.float32)
+        p2 = (two + 20 * p1) / (two.sum(1, keepdims=True) + 20)
+        self.log = np.log((three + 20 * p2[None]) / (three.sum(2, keepdims=True) + 20)).astype(np.float32)
 
     def score(self, text: str) -> float:
         codes = [N, N, *map(PLACE.__getitem__, text)]
@@ -83,12 +83,16 @@ class Chain:
 
 
 class Detector:
-    """Both chains and a ratio per character that no ordinary sample of a run's length reached."""
+    """Both chains and the least ratio per character of a secret.
 
-    def __init__(self, random_strings: Counter, ordinary: Counter, margin: float = 0.05, least: float = 0.25):
+    No ordinary sample of a run's length reaches it, and all but ``missed`` of fresh random strings do.
+    """
+
+    def __init__(self, random_strings: Counter, ordinary: Counter, margin: float = 0.05, missed: float = 0.02):
         self.random, self.ordinary = Chain(random_strings), Chain(ordinary)
         highest = max((self.ratio(t) / len(t) for t in ordinary if len(t) >= 20), default=0.0)
-        self.limit = max(least, highest + margin)
+        fresh = sorted(self.ratio(t) / len(t) for t in generated(2000, seed=44))
+        self.limit = max(highest + margin, fresh[int(missed * len(fresh))])
 
     def ratio(self, text: str) -> float:
         return self.random.score(text) - self.ordinary.score(text)
@@ -122,10 +126,10 @@ def composed(words: list[str], n: int = 3000, seed: int = 43) -> Counter:
     rng, out = random.Random(seed), Counter()
     for _ in range(n if words else 0):
         joint = rng.choice(["_", "-", "/", "", "+", "="])
-        case = rng.choice([str.lower, str.lower, str.title, str.upper])
+        cases = rng.choice([[str.lower], [str.title], [str.upper], [str.title, str.title, str.upper]])
         parts = []
         while sum(map(len, parts)) < rng.randrange(16, 44):
-            word = case(rng.choice(words)[:20])
+            word = rng.choice(cases)(rng.choice(words)[:20])
             parts.append(word + str(rng.randrange(10 ** rng.randrange(1, 5))) * (rng.random() < 0.35))
         out[joint.join(parts)] += 1
     return out
