@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterable
+from operator import attrgetter
 
 import numpy as np
 
-CACHED = 250_000
+CACHED = 200_000
+ID = attrgetter("id")
 #: Letters whose lower case is one letter and that no normal form changes; other chunks go the long way.
 PLAIN = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ÿ]*")
 #: The tokenizer file's pattern of pieces, for lower-case text of the plain letters.
@@ -34,45 +37,59 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Pieces(dict):
-    """Ids of a lower-case piece as little-endian unsigned 32-bit integers."""
+class _Kept(dict):
+    """Computes what is missing and keeps it.  A full generation is set aside; what is used again moves on."""
 
-    def __init__(self, model):
+    def __init__(self, most: int):
         super().__init__()
-        self.model = model
-        self.letters = _byte_letters()
-
-    def __missing__(self, piece: str) -> bytes:
-        shown = piece if piece.isascii() and piece.isprintable() else "".join(map(self.letters.get, piece.encode()))
-        ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        if len(self) >= CACHED:
+        self.most, self.aside = most, {}
+
+    def __missing__(self, key):
+        ids = self.aside.get(key)
+        if ids is None:
+            ids = self.compute(key)
+        if len(self) >= self.most:
+            self.aside = dict(self)
             self.clear()
-        self[piece] = ids
+        self[key] = ids
         return ids
 
 
-class _Chunks(dict):
+class _Pieces(_Kept):
+    """Ids of a lower-case piece as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, model):
+        super().__init__(CACHED)
+        self.tokenize, self.letters = model.tokenize, _byte_letters()
+
+    def compute(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isprintable() else "".join(map(self.letters.__getitem__, piece.encode()))
+        ids = [*map(ID, self.tokenize(shown))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Chunks(_Kept):
     """Ids of a chunk of UTF-8 without ASCII white space."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(CACHED)
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces = _Pieces(self.tokenizer.model)
 
-    def __missing__(self, chunk: bytes) -> bytes:
+    def compute(self, chunk: bytes) -> bytes:
         text = chunk.decode()
-        if b"<|" not in chunk and PLAIN.fullmatch(text):
-            ids = b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
-        else:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= 64:
-            if len(self) >= CACHED:
-                self.clear()
-            self[chunk] = ids
-        return ids
+        if chunk.isalpha():  # ASCII letters only: one piece
+            return self.pieces[text.lower()]
+        if b"<|" not in chunk and (chunk.isascii() or PLAIN.fullmatch(text)):
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        return super().__missing__(chunk) if len(chunk) <= 64 else self.compute(chunk)
 
 
 _loaded: dict[str, _Chunks] = {}
