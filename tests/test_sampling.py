@@ -11,8 +11,9 @@ from textgauge.operators import dedup, sampling
 from textgauge.plans import corpus as C
 
 
-def order(keys, seed=42):
-    return sorted(keys, key=lambda k: (hashlib.md5(f"{seed}|{k}".encode()).hexdigest(), k))
+def order(keys, purpose="", seed=42):
+    start = f"{purpose}|{seed}" if purpose else f"{seed}"
+    return sorted(keys, key=lambda k: (hashlib.md5(f"{start}|{k}".encode()).hexdigest(), k))
 
 
 def table(spark, counts):
@@ -27,7 +28,7 @@ def layouts(df):
 
 def test_sample(spark):
     df = table(spark, {0: 500})
-    want = set(order(range(500))[:123])
+    want = set(order(range(500), "sample")[:123])
     for layout in layouts(df):
         assert {r.k for r in sampling.sample_rows(layout, 123, "k").collect()} == want
     assert sampling.sample_rows(df, 500, "k").count() == 500
@@ -40,11 +41,29 @@ def test_sample(spark):
 @pytest.mark.parametrize("classes", [(0, 1, 2), None])
 def test_balance(spark, classes):
     df = table(spark, {0: 900, 1: 40, 2: 60})
-    want = set(order(range(900))[:40]) | set(range(900, 940)) | set(order(range(940, 1000))[:40])
+    want = set(order(range(900), "balance")[:40]) | set(range(900, 940)) | set(order(range(940, 1000), "balance")[:40])
     for layout in layouts(df):
         assert {r.k for r in sampling.balance_classes(layout, "y", "k", classes).collect()} == want
 
 
+def test_many_classes_are_ranked_by_a_shuffle(spark, monkeypatch):
+    df = table(spark, {0: 90, 1: 40, 2: 60})
+    kept = {r.k for r in sampling.balance_classes(df, "y", "k").collect()}
+    split = {r.k: r.split for r in sampling.split_rows(df, "y", "k").collect()}
+    monkeypatch.setattr(sampling, "MOST_CLASSES", 2)
+    assert sampling.class_list(df, "y") is None
+    assert {r.k for r in sampling.balance_classes(df, "y", "k").collect()} == kept
+    assert {r.k: r.split for r in sampling.split_rows(df, "y", "k").collect()} == split
+
+
+def test_draws_can_follow_one_another(spark):
+    df = table(spark, {0: 1500, 1: 400})
+    for rows in (sampling.sample_rows(df, 300, "k"), sampling.balance_classes(df, "y", "k", (0, 1))):
+        for split in (sampling.split_rows(rows, "y", "k", classes=(0, 1)), sampling.split_rows_by_hash(rows, "k")):
+            found = {(r.y, r.split) for r in split.select("y", "split").distinct().collect()}
+            assert found == {(y, s) for y in (0, 1) for s in ("train", "validation", "test")}
+
+
 @pytest.mark.parametrize("classes", [(0, 1), None])
 def test_balance_edges(spark, classes):
     assert sampling.balance_classes(table(spark, {1: 9}), "y", "k", classes).count() == 9
@@ -66,7 +85,7 @@ def test_split(spark, classes):
         for label, n in sizes.items():
             held = math.ceil(n * 0.3)
             test = math.ceil(held * 0.5)
-            ranked = order(range(start, start + n))
+            ranked = order(range(start, start + n), "split")
             want = {k: "train" if i < n - held else "validation" if i < n - test else "test" for i, k in enumerate(ranked)}
             assert {r.k: r.split for r in rows if r.y == label} == want
             start += n
@@ -128,7 +147,7 @@ def expected(balance):
             rows.append((k, clean, 0 if human else 1))
     if balance:
         size = min(sum(r[2] == c for r in rows) for c in (0, 1))
-        keep = {k for c in (0, 1) for k in order([r[0] for r in rows if r[2] == c])[:size]}
+        keep = {k for c in (0, 1) for k in order([r[0] for r in rows if r[2] == c], "balance")[:size]}
         rows = [r for r in rows if r[0] in keep]
     return sorted(rows)
 

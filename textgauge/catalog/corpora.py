@@ -13,17 +13,22 @@ from textgauge.operators import dedup, profile, sampling, vocabulary
 from textgauge.operators.prefix import summarize
 from textgauge.plans import corpus as C
 from textgauge.session import scratch_path
+from textgauge.sources.stage_cache import cached_stage
 
-ORDER = "md5('42|' || doc_id), doc_id"
+
+
+def order(purpose: str, key: str = "doc_id") -> str:
+    """Random order of an operator in SQL."""
+    return f"md5('{purpose}|42|' || " + " || '|' || ".join(key.split(", ")) + f"), {key}"
 
 
 @query(
     "dedup_text",
-    "select doc_id, source from documents qualify row_number() over (partition by text order by doc_id) = 1",
+    "select doc_id, md5(text) as digest, source from documents qualify row_number() over (partition by text order by doc_id) = 1",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents")
-    return dedup.drop_duplicate_texts(docs, "text", "doc_id").select("doc_id", "source")
+    docs = dedup.drop_duplicate_texts(table(spark, sf, "documents"), "text", "doc_id", scratch_path(spark, "dedup"))
+    return docs.select("doc_id", F.md5("text").alias("digest"), "source")
 
 
 @query(
@@ -53,11 +58,25 @@ def _(spark, sf):
     return rounded(texts.unionByName(rows))
 
 
-@query("sample_n", f"select doc_id, source from documents order by {ORDER} limit 300")
+@query("sample_n", f"select doc_id, source from documents order by {order('sample')} limit 300")
 def _(spark, sf):
     return sampling.sample_rows(table(spark, sf, "documents"), 300, "doc_id").select("doc_id", "source")
 
 
+@query(
+    "duplicate_counts_events",
+    """select count(*) as n_rows, (select count(*) from (select distinct * from {e})) as n_distinct,
+        count(*) - (select count(*) from (select distinct * from {e})) as n_duplicates,
+        round((count(*) - (select count(*) from (select distinct * from {e}))) / cast(count(*) as double), 6) as duplicate_share
+    from {e}""".format(e="(select * from events union all select * from events where user_id % 5 = 0 union all select event_id, ts + interval 1 microsecond, user_id, event_type, value, props from events where user_id % 7 = 0)"),
+)
+def _(spark, sf):
+    events = table(spark, sf, "events")
+    again = events.where("user_id % 5 = 0")
+    moved = events.where("user_id % 7 = 0").withColumn("ts", F.expr("ts + interval 1 microsecond"))
+    return rounded(dedup.duplicate_rows(events.union(again).union(moved)))
+
+
 _BALANCED = """with t as (select {cols}, {label}, row_number() over (partition by {label} order by {order}) as rn,
     count(*) over (partition by {label}) as size from {source}),
   s as (select min(size) as low, max(size) as high, count(distinct {label}) as k from t)
@@ -66,7 +85,7 @@ _BALANCED = """with t as (select {cols}, {label}, row_number() over (partition b
 
 @query(
     "balance_classes",
-    _BALANCED.format(cols="doc_id", label="generated", order=ORDER, source=LABELLED, keep="rn <= low"),
+    _BALANCED.format(cols="doc_id", label="generated", order=order("balance"), source=LABELLED, keep="rn <= low"),
 )
 def _(spark, sf):
     return sampling.balance_classes(labelled(spark, sf), "generated", "doc_id", (0, 1)).select("doc_id", "generated")
@@ -74,7 +93,7 @@ def _(spark, sf):
 
 @query(
     "balance_classes_open",
-    _BALANCED.format(cols="doc_id", label="generated", order=ORDER, source=LABELLED, keep="rn <= low"),
+    _BALANCED.format(cols="doc_id", label="generated", order=order("balance"), source=LABELLED, keep="rn <= low"),
 )
 def _(spark, sf):
     return sampling.balance_classes(labelled(spark, sf), "generated", "doc_id").select("doc_id", "generated")
@@ -83,7 +102,7 @@ def _(spark, sf):
 @query(
     "balance_if_skewed",
     _BALANCED.format(
-        cols="conv_id, turn", label="generated", order="md5('42|' || conv_id || '|' || turn), conv_id, turn", source=ROLES,
+        cols="conv_id, turn", label="generated", order=order("balance", "conv_id, turn"), source=ROLES,
         keep="rn <= case when low / cast(high as double) < 0.8 then low else size end",
     ),
 )
@@ -92,6 +111,35 @@ def _(spark, sf):
     return talks.select("conv_id", "turn", "generated")
 
 
+_SAMPLED = f"(select * from {LABELLED} qualify row_number() over (order by {order('sample')}) <= 150)"
+_EVEN = f"""(select * from (select *, row_number() over (partition by generated order by {order("balance")}) as rank,
+    count(*) over (partition by generated) as whole from {LABELLED}) where rank <= (select min(n) from (select count(*) as n from {LABELLED} group by generated)))"""
+_THEN_SPLIT = f"""select doc_id, cast(generated as integer) as generated, case when rn <= size - held then 'train'
+    when rn <= size - cast(ceil(held * 0.5) as bigint) then 'validation' else 'test' end as split,
+    case when u < 0.7 then 'train' when u < 0.85 then 'validation' else 'test' end as approximate
+  from (select doc_id, generated, row_number() over (partition by generated order by {order("split")}) as rn,
+      cast(('0x' || substring(md5('split|42|' || doc_id), 1, 8)) as bigint) / cast(4294967296 as double) as u,
+      count(*) over (partition by generated) as size,
+      cast(ceil(count(*) over (partition by generated) * cast(0.3 as double)) as bigint) as held from {{source}})"""
+
+
+def _both_splits(rows):
+    rows = sampling.split_rows(rows.select("doc_id", "generated"), "generated", "doc_id", classes=(0, 1))
+    exact = rows.withColumnRenamed("split", "_exact")
+    both = sampling.split_rows_by_hash(exact, "doc_id")
+    return both.select("doc_id", "generated", F.col("_exact").alias("split"), F.col("split").alias("approximate"))
+
+
+@query("sample_then_split", _THEN_SPLIT.format(source=_SAMPLED))
+def _(spark, sf):
+    return _both_splits(sampling.sample_rows(labelled(spark, sf), 150, "doc_id"))
+
+
+@query("balance_then_split", _THEN_SPLIT.format(source=_EVEN))
+def _(spark, sf):
+    return _both_splits(sampling.balance_classes(labelled(spark, sf), "generated", "doc_id", (0, 1)))
+
+
 @query("shuffle_key", "select doc_id, md5('42|' || doc_id) as shuffle_key from documents")
 def _(spark, sf):
     return sampling.shuffle_key(table(spark, sf, "documents"), "doc_id").select("doc_id", "shuffle_key")
@@ -99,7 +147,7 @@ def _(spark, sf):
 
 _SPLIT = f"""(select doc_id, generated, case when rn <= size - held then 'train'
     when rn <= size - cast(ceil(held * 0.5) as bigint) then 'validation' else 'test' end as split
-  from (select doc_id, generated, row_number() over (partition by generated order by {ORDER}) as rn,
+  from (select doc_id, generated, row_number() over (partition by generated order by {order("split")}) as rn,
       count(*) over (partition by generated) as size,
       cast(ceil(count(*) over (partition by generated) * cast(0.3 as double)) as bigint) as held from {LABELLED}))"""
 
@@ -128,7 +176,7 @@ def _(spark, sf):
 @query(
     "approximate_split",
     """select split, count(*) as n from (select case when u < 0.7 then 'train' when u < 0.85 then 'validation' else 'test' end as split
-      from (select cast(('0x' || substring(md5('42|' || doc_id), 1, 8)) as bigint) / cast(4294967296 as double) as u from documents))
+      from (select cast(('0x' || substring(md5('split|42|' || doc_id), 1, 8)) as bigint) / cast(4294967296 as double) as u from documents))
     group by split""",
 )
 def _(spark, sf):
@@ -313,17 +361,26 @@ def _(spark, sf):
     return vocabulary.top_words(labelled(spark, sf), "text", "generated")
 
 
+@query(
+    "top_words_5000",
+    f"""select cast(generated as integer) as generated, cast(rank as integer) as rank, word, n from (
+      select generated, word, count(*) as n, row_number() over (partition by generated order by count(*) desc, word) as rank
+      from {_WORDS} where word <> '' group by generated, word) where rank <= 5000""",
+)
+def _(spark, sf):
+    return vocabulary.top_words(labelled(spark, sf), "text", "generated", k=5000)
+
+
 # ---- the corpus job ----
 
 
 def corpus_sql(source: str, key: str, text: str, src: str, drop: str = "true", balance: bool = True) -> str:
     """Oracle of the corpus job; ``key`` lists the key columns."""
-    digest = "md5('42|' || " + " || '|' || ".join(key.split(", ")) + ")"
     keep = "rn <= (select min(size) from ranked)" if balance else "true"
     return f"""(with firsts as (select * from {source} where {text} is not null
         qualify row_number() over (partition by {text} order by {key}) = 1),
       cleaned as (select {key}, {sql_clean(text)} as text, generated, {src} from firsts),
-      ranked as (select *, row_number() over (partition by generated order by {digest}, {key}) as rn,
+      ranked as (select *, row_number() over (partition by generated order by {order("balance", key)}) as rn,
           count(*) over (partition by generated) as size from cleaned where length(text) between 50 and 5000 and {drop})
       select {key}, text, cast(generated as integer) as generated, {src} from ranked where {keep})"""
 
@@ -345,12 +402,41 @@ def _(spark, sf):
 
 @query("corpus_job", corpus_sql(LABELLED, "doc_id", "text", "source"))
 def _(spark, sf):
+    # The smaller class has fewer rows here than the default gate asks for; ``corpus_job_events`` meets the defaults.
     return C.corpus_job(
         spark, sf, scratch_path(spark, "corpus"), "doc_id", quality=QualityConfig(min_class_rows=1),
         filename="documents.parquet", human=HUMAN, ai=AI,
     )
 
 
+@query("build_corpus_staged", corpus_sql(LABELLED, "doc_id", "text", "source"))
+def _(spark, sf):
+    base = scratch_path(spark, "staged")
+
+    def store(name, build):
+        return cached_stage(spark, base, name, {}, build)
+
+    return C.build_corpus_in_stages(labelled(spark, sf), "doc_id", CorpusConfig(), store)
+
+
+_EVENT_TEXT = "'Event ' || event_id || ' of user ' || user_id || ': ' || event_type || ', as the log of this service keeps it.'"
+_EVENTS = f"""(select event_id, {_EVENT_TEXT} as text, case when user_id % 2 = 0 then 'even' else 'odd' end as source,
+    case when user_id % 2 = 0 then 0 else 1 end as generated from events)"""
+
+
+@query("corpus_job_events", corpus_sql(_EVENTS, "event_id", "text", "source"))
+def _(spark, sf):
+    """The job with its default gates, over a table whose classes are large enough for them."""
+    raw = table(spark, sf, "events").select(
+        "event_id",
+        F.expr(_EVENT_TEXT).alias("text"),
+        F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd").alias("source"),
+    )
+    folder = scratch_path(spark, "events-raw")
+    raw.write.parquet(folder)
+    return C.corpus_job(spark, folder, scratch_path(spark, "events-corpus"), "event_id", human=("even",), ai=("odd",))
+
+
 @query(
     "corpus_class_counts",
     f"select generated, count(*) as n from {corpus_sql(ROLES, 'conv_id, turn', 'text', 'role')} group by generated",

@@ -202,9 +202,22 @@ def _(spark, sf):
     return rounded(evaluate(scored(spark, sf)))
 
 
-@query("bootstrap_accuracy_ci")
+@query(
+    "bootstrap_accuracy_ci",
+    f"select round(avg(case when label = prediction then 1.0e0 else 0.0e0 end), 6) as accuracy, true as inside, true as as_wide from {SCORED}",
+)
 def _(spark, sf):
-    return bootstrap.bootstrap_accuracy_ci(scored(spark, sf))
+    # The bounds are drawn: compared is whether they hold the accuracy, 0.7 to 1.4 times as wide as the normal interval.
+    rows = scored(spark, sf)
+    exact = rows.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("a"), F.count(F.lit(1)).alias("n"))
+    drawn = bootstrap.bootstrap_accuracy_ci(rows).select(F.struct("lower_bound", "upper_bound").alias("b")).scalar()
+    wide = 2 * 1.959964 * F.sqrt(F.col("a") * (1 - F.col("a")) / F.col("n"))
+    width = F.col("b.upper_bound") - F.col("b.lower_bound")
+    return exact.withColumn("b", drawn).select(
+        F.round("a", 6).alias("accuracy"),
+        F.col("a").between(F.col("b.lower_bound"), F.col("b.upper_bound")).alias("inside"),
+        (width / wide).between(0.7, 1.4).alias("as_wide"),
+    )
 
 
 # ---- gates ----
@@ -316,6 +329,26 @@ def _(spark, sf):
     return gates.model_gate_report(scored(spark, sf))
 
 
-@query("gate_rows_with_interval")
+_INTERVAL = [_line("accuracy_interval", f"{side}_bound", "null") for side in ("lower", "upper")]
+
+
+@query("gate_rows_with_interval", " union all ".join([*_ALL, *_INTERVAL]))
 def _(spark, sf):
-    return gates.with_bootstrap(scored(spark, sf))
+    # The interval's bounds are drawn, so they are left out of what is compared.
+    rows = gates.with_bootstrap(scored(spark, sf))
+    fixed = F.when(F.col("gate") != "accuracy_interval", F.col("actual"))
+    return rounded(rows.withColumn("actual", fixed))
+
+
+@query(
+    "gate_invalid_inputs",
+    """select gate, item, false as passed from (values ('thresholds', 'accuracy'), ('thresholds', 'f1'), ('thresholds', 'precision'),
+        ('thresholds', 'recall'), ('calibration', 'brier_score'), ('calibration', 'expected_calibration_error')) t(gate, item)""",
+)
+def _(spark, sf):
+    """Perfect predictions but for rows with a null or foreign label: nothing may pass."""
+    rows = scored(spark, sf)
+    label = F.when(F.col("doc_id") % 5 == 0, 7).when(F.col("doc_id") % 7 == 0, None).otherwise(F.col("label"))
+    rows = rows.select("doc_id", label.alias("label"), F.col("label").alias("prediction"), F.col("label").cast("double").alias("probability"))
+    judged = gates.gate_rows(rows).where("gate in ('thresholds', 'calibration') and item <> 'roc_auc'")
+    return judged.select("gate", "item", "passed")

@@ -9,8 +9,9 @@ from textgauge.config import ScoreConfig, TrainConfig
 from textgauge.operators import dedup, scoring
 from textgauge.operators.gates import gate_rows
 from textgauge.operators.metrics import classification_metrics
+from textgauge.operators.model import with_tokens
 from textgauge.plans.scoring import score_file
-from textgauge.plans.training import scored_table, train_and_score
+from textgauge.plans.training import load_model, scored_table, train_and_score
 from textgauge.functions import text as X
 from textgauge.session import scratch_path
 from textgauge.sources import inventory, readers, stage_cache, writers
@@ -32,16 +33,14 @@ def _(spark, sf):
 
 @query(
     "partitioned_roundtrip",
-    """select split, count(*) as n from (select case when u < 0.7 then 'train' when u < 0.85 then 'validation' else 'test' end as split
-      from (select cast(('0x' || substring(md5('42|' || doc_id), 1, 8)) as bigint) / cast(4294967296 as double) as u from documents))
-    where split <> 'train' group by split""",
+    """select doc_id, md5(text) as digest, case when u < 0.7 then 'train' when u < 0.85 then 'validation' else 'test' end as split
+      from (select *, cast(('0x' || substring(md5('split|42|' || doc_id), 1, 8)) as bigint) / cast(4294967296 as double) as u from documents)""",
 )
 def _(spark, sf):
     from textgauge.operators.sampling import split_rows_by_hash
 
     path = writers.write_split(split_rows_by_hash(table(spark, sf, "documents"), "doc_id"), scratch_path(spark, "split"))
-    held = readers.read_folder(spark, path).where(F.col("split") != "train")
-    return held.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return readers.read_folder(spark, path).select("doc_id", F.md5("text").alias("digest"), "split")
 
 
 @query("dataset_inventory")
@@ -79,6 +78,17 @@ def _(spark, sf):
     return inventory.apply_diff(inventory.snapshot_diff(*_snapshots(spark, sf), "doc_id"), delete_extra=True)
 
 
+@query(
+    "snapshot_diff_events",
+    "select event_id, case when user_id % 3 = 0 then 'changed' else 'unchanged' end as status from events",
+)
+def _(spark, sf):
+    before = table(spark, sf, "events")
+    later = F.expr("ts + interval 3 microseconds")
+    after = before.withColumn("ts", F.when(F.col("user_id") % 3 == 0, later).otherwise(F.col("ts")))
+    return inventory.snapshot_diff(before, after, "event_id")
+
+
 @query("stage_cache", f"select conv_id, turn, cast(generated as integer) as generated from {ROLES}")
 def _(spark, sf):
     base, params = scratch_path(spark, "stages"), {"input": sf, "human": "user", "ai": "assistant"}
@@ -178,28 +188,115 @@ def _(spark, sf):
 
 # ---- the classifier ----
 
-_SMALL = TrainConfig(features=1 << 14, max_iter=20, reg_ladder=(0.1, 0.01, 0.001))
+_fits: dict[tuple, str] = {}
+
+
+def _fitted(spark, sf) -> str:
+    """Folder of the model and the scored rows; one fit per session and tables serves all queries below."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _fits:
+        folder = scratch_path(spark, "training")
+        keys = ["conv_id", "turn"]
+        fitted, rows = train_and_score(roles(spark, sf), "text", "generated", keys, TrainConfig(), folder=folder)
+        fitted.model.write().save(f"{folder}/model")
+        rows.write.parquet(f"{folder}/scores")
+        _fits[at] = folder
+    return _fits[at]
 
 
 def _trained(spark, sf):
-    talks = roles(spark, sf)
-    return train_and_score(talks, "text", "generated", ["conv_id", "turn"], _SMALL)[1]
+    return spark.read.parquet(f"{_fitted(spark, sf)}/scores")
+
+
+_PARTS = """(select conv_id, turn, text, cast(generated as integer) as generated, case when rn <= size - held then 'train'
+    when rn <= size - cast(ceil(held * 0.5) as bigint) then 'validation' else 'test' end as split
+  from (select conv_id, turn, text, generated, size, cast(ceil(size * cast(0.3 as double)) as bigint) as held, row_number() over (
+        partition by generated order by md5('split|42|' || conv_id || '|' || turn), conv_id, turn) as rn
+      from (select *, count(*) over (partition by generated) as size from {roles})))"""
+_PARTS = _PARTS.format(roles=ROLES)
 
 
-@query("train_and_score")
+@query("train_and_score", f"select conv_id, turn, split, generated, true as consistent from {_PARTS}")
 def _(spark, sf):
-    rows = _trained(spark, sf)
-    return rows.select("conv_id", "turn", "split", "generated", "prediction", "prediction_label", "confidence", "prob_ai")
+    # The scores themselves depend on the fit; what follows from them is compared.
+    p = F.col("prob_ai")
+    consistent = (
+        p.between(0, 1)
+        & (F.abs(F.col("prob_human") + p - 1) < 1e-9)
+        & (F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-9)
+        & (F.col("prediction") == (p > F.col("prob_human")).cast("int"))
+        & (F.col("prediction_label") == F.when(F.col("prediction") == 1, "ai").otherwise("human"))
+        & ~F.col("processing_error")
+    )
+    return _trained(spark, sf).select("conv_id", "turn", "split", "generated", consistent.alias("consistent"))
 
 
-@query("evaluate_test_split")
+@query(
+    "evaluate_test_split",
+    f"select generated as label, count(*) as support, true as in_range from {_PARTS} where split = 'test' group by generated",
+)
+def _(spark, sf):
+    test = scored_table(_trained(spark, sf).where("split = 'test'"), "generated")
+    row = classification_metrics(test).select(F.least("accuracy", "f1").alias("low"), F.greatest("accuracy", "f1").alias("high"))
+    inside = row.select(((F.col("low") >= 0) & (F.col("high") <= 1)).alias("ok")).scalar()
+    return test.groupBy("label").agg(F.count(F.lit(1)).alias("support")).withColumn("in_range", inside)
+
+
+@query(
+    "gate_trained_model",
+    """select * from (values ('thresholds', 'accuracy', 0.85e0), ('thresholds', 'f1', 0.85e0), ('thresholds', 'precision', 0.8e0),
+        ('thresholds', 'recall', 0.8e0), ('thresholds', 'roc_auc', 0.85e0), ('calibration', 'brier_score', 0.25e0),
+        ('calibration', 'expected_calibration_error', 0.1e0)) t(gate, item, bound)""",
+)
+def _(spark, sf):
+    rows = gate_rows(scored_table(_trained(spark, sf).where("split = 'test'"), "generated"))
+    return rows.where("gate in ('thresholds', 'calibration') and passed is not null").select("gate", "item", "bound")
+
+
+_WITH_MODEL = f"""select doc_id, cast(length(text) as bigint) as original_text_length,
+    cast(length({sql_light('text')}) as bigint) as processed_text_length, false as processing_error, true as consistent from documents"""
+
+
+def _follows(scored):
+    p = F.col("prob_ai")
+    consistent = (F.abs(F.col("confidence") - F.greatest(p, "prob_human")) < 1e-9) & (
+        F.col("prediction") == (p > F.col("prob_human")).cast("int")
+    )
+    shown = ["doc_id", "original_text_length", "processed_text_length", "processing_error"]
+    return scored.select(*shown, consistent.alias("consistent"))
+
+
+@query("score_file_with_model", _WITH_MODEL)
+def _(spark, sf):
+    target = scratch_path(spark, "scored") + ".parquet"
+    score_file(spark, f"{sf}/documents.parquet", load_model(_fitted(spark, sf)), target)
+    return _follows(readers.read_table(spark, target))
+
+
+@query("stream_score_with_model", _WITH_MODEL)
+def _(spark, sf):
+    texts = streams.read_stream(spark, sf, table(spark, sf, "documents").schema, "documents.parquet")
+    target = scratch_path(spark, "stream-model")
+    rows = streams.score_stream(texts, load_model(_fitted(spark, sf)))
+    streams.write_stream(rows, target, f"{target}-checkpoint", once=True).awaitTermination()
+    return _follows(readers.read_folder(spark, target))
+
+
+@query(
+    "tokenize_truncate",
+    f"""select doc_id, len(t) as n_tokens, md5(array_to_string(t, ' ')) as digest from (select doc_id, list_slice(
+        regexp_extract_all(lower({sql_light('text')}), '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_{SPACE}]'), 1, 512) as t from documents)""",
+)
 def _(spark, sf):
-    return classification_metrics(scored_table(_trained(spark, sf).where("split = 'test'"), "generated"))
+    rows = with_tokens(table(spark, sf, "documents"), "text", 512)
+    return rows.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 
-@query("gate_trained_model")
+@query("read_export", "select doc_id, md5(text) as digest, lang, source, n_chars from documents")
 def _(spark, sf):
-    return gate_rows(scored_table(_trained(spark, sf).where("split = 'test'"), "generated"))
+    folder = scratch_path(spark, "export")
+    writers.write_parquet(table(spark, sf, "documents"), f"{folder}/train")
+    return readers.read_export(spark, folder).select("doc_id", F.md5("text").alias("digest"), "lang", "source", "n_chars")
 
 
 # ---- streams ----

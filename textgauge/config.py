@@ -48,7 +48,7 @@ class CorpusConfig:
 
 @dataclass(frozen=True)
 class QualityConfig:
-    """Limits of the table quality gate."""
+    """Limits of the table quality gate.  Fixed values: the defaults."""
 
     expected_columns: tuple[str, ...] = ("text", "generated", "source")
     required_columns: tuple[str, ...] = ("text", "generated")
@@ -86,13 +86,13 @@ class ScoreConfig:
 
     text: str = "text"
     batch_size: int = 32
-    max_tokens: int = 512
+    max_tokens: int | None = None  # only for a model that has an input window
     light_clean: bool = True
     class_names: tuple[str, ...] = ("human", "ai")
 
     def __post_init__(self):
         _require(self.batch_size > 0, "batch_size must be positive")
-        _require(self.max_tokens > 0, "max_tokens must be positive")
+        _require(self.max_tokens is None or self.max_tokens > 0, "max_tokens must be positive")
 
 
 @dataclass(frozen=True)
@@ -100,7 +100,8 @@ class TrainConfig:
     """Linear text classifier and the rule that ends its parameter search."""
 
     features: int = 1 << 18
-    max_tokens: int = 512
+    max_tokens: int | None = None
+    min_texts: int = 2  # a token of fewer training texts has no weight
     max_iter: int = 50
     reg_ladder: tuple[float, ...] = (1.0, 0.3, 0.1, 0.03, 0.01, 0.003, 0.001)
     patience: int = 5
@@ -110,7 +111,7 @@ class TrainConfig:
 
 @dataclass(frozen=True)
 class GateConfig:
-    """Release limits for a scored test set."""
+    """Release limits for a scored test set.  Fixed values: the defaults."""
 
     min_accuracy: float = 0.85
     min_f1: float = 0.85

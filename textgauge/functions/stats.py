@@ -27,10 +27,12 @@ def bin_index(p: Column, bins: int, zero_in_first: bool) -> Column:
 
 
 def chi2_tail(stat: Column, dof: Column) -> Column:
-    """P(X >= stat) for a chi-square variable, from the series of the lower incomplete gamma function.
+    """P(X >= stat) for a chi-square variable.
 
-    With s = dof/2 and y = stat/2 the lower part is the sum of t_n, where
-    t_0 = y^s e^-y / gamma(s+1) and t_n = t_(n-1) * y / (s+n).  Meant for result rows, not data rows.
+    With s = dof/2 and y = stat/2 and t_0 = y^s e^-y / gamma(s+1): up to y = s + 1 one less the series of the lower
+    incomplete gamma function, whose terms are t_n = t_(n-1) * y / (s+n); beyond it the continued fraction of
+    the upper one, s t_0 / (y+1-s - 1(1-s)/(y+3-s - 2(2-s)/(y+5-s - ...))), which keeps its digits however small the
+    tail is.  Meant for result rows, not data rows.
     """
     s = dof.cast("double") / 2
     y = stat.cast("double") / 2
@@ -46,16 +48,22 @@ def chi2_tail(stat: Column, dof: Column) -> Column:
     )
     first = F.exp(s * F.log(y) - y - log_gamma)
     state = F.struct(first.alias("term"), first.alias("total"))
-    terms = F.sequence(F.lit(1), F.greatest(F.lit(200), (y * 4).cast("int")))
+    terms = F.sequence(F.lit(1), F.greatest(F.lit(200), (F.least(y, s + 1) * 4).cast("int")))
 
     def add(acc: Column, n: Column) -> Column:
         term = acc["term"] * y / (s + n)
         return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
 
     lower = F.aggregate(terms, state, add)["total"]
+    depth = 400
+    fraction = F.aggregate(
+        F.sequence(F.lit(depth), F.lit(1)),
+        (y + F.lit(2.0 * depth + 1) - s),
+        lambda below, i: (y + 2 * i - 1 - s) - i * (i - s) / below,
+    )
     return (
         F.when(stat.isNull() | F.isnan(stat), None)
         .when(stat <= 0, F.lit(1.0))
-        .when(y > 40 + 4 * s, F.lit(0.0))
+        .when(y > s + 1, first * s / fraction)
         .otherwise(F.greatest(F.lit(0.0), 1.0 - lower))
     )

@@ -106,7 +106,8 @@ def count_of(text: Column | str, mark: str) -> Column:
 def sentence_count(text: Column | str) -> Column:
     """A sentence ends with a run of ``.!?`` before white space or the end; a tail counts too."""
     body = strip(text)
-    ended = F.regexp_count(body, F.lit(rf"[.!?]+([{SPACE}]|\z)"))
+    # The last mark of a run is the one before white space or the end: one look ahead per mark, no backtracking.
+    ended = F.regexp_count(body, F.lit(rf"[.!?](?=[{SPACE}]|\z)"))
     tail = F.when((body != "") & ~F.substring(body, -1, 1).isin(".", "!", "?"), 1).otherwise(0)
     return F.coalesce((ended + tail).cast("bigint"), F.lit(0).cast("bigint"))
 

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textgauge.functions.digests import key_struct, names, row_digest, text_digest
 
@@ -26,9 +25,21 @@ def first_keys(df: DataFrame, text: str, key) -> DataFrame:
     return firsts.select(*[F.col(f"_k.{c}").alias(c) for c in cols])
 
 
-def drop_duplicate_texts(df: DataFrame, text: str, key) -> DataFrame:
-    """Keep, of equal texts, the row with the smallest key."""
-    return df.join(first_keys(df, text, key), names(key), "left_semi")
+def drop_duplicate_texts(df: DataFrame, text: str, key, folder: str | None = None) -> DataFrame:
+    """Keep, of equal texts, the row with the smallest key.
+
+    With a ``folder`` that tasks share, the keys of the later copies are stored there first and anti-joined.  Their
+    size is then known when the join is planned: below Spark's broadcast threshold no text is shuffled.  Without it
+    the result is one lazy plan, which shuffles the rows by key.
+    """
+    cols = names(key)
+    if folder is None:
+        return df.join(first_keys(df, text, key), cols, "left_semi")
+    spark = df.sparkSession
+    firsts, surplus = f"{folder.rstrip('/')}/firsts", f"{folder.rstrip('/')}/surplus"
+    first_keys(df, text, key).write.parquet(firsts)
+    df.select(*cols).join(spark.read.parquet(firsts), cols, "left_anti").write.parquet(surplus)
+    return df.join(spark.read.parquet(surplus), cols, "left_anti")
 
 
 def _surplus(groups: DataFrame) -> DataFrame:
@@ -47,18 +58,10 @@ def _groups(df: DataFrame, identity: Sequence[Column]) -> DataFrame:
     return df.select(*named).groupBy(*[f"_d{i}" for i in range(len(named))]).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def _row_identity(df: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """What equal rows share: a digest, or the columns themselves where they are no wider than one."""
-    narrow = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    if len(columns) <= 4 and all(isinstance(df.schema[c].dataType, narrow) for c in columns):
-        return [F.col(c) for c in columns]
-    return [row_digest(columns)]
-
-
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier row in all (or the given) columns."""
     columns = list(columns or df.columns)
-    return _surplus(_groups(df, _row_identity(df, columns)))
+    return _surplus(_groups(df, [row_digest(df, columns)]))
 
 
 def duplicate_texts(df: DataFrame, text: str) -> DataFrame:

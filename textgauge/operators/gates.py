@@ -24,10 +24,10 @@ DEFAULT = GateConfig()
 def gate_facts(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
     """Everything the gates need, in one row.
 
-    Only rows with allowed labels and predictions count (``gate_inputs`` rejects a table with others), so
-    the per-class entries of the row are as many as there are allowed labels.
+    Only rows with allowed labels and predictions count, so the per-class entries of the row are as many as there
+    are allowed labels.  ``inputs_valid`` says whether there were others: then nothing passes.
     """
-    allowed = list(config.allowed_labels)
+    allowed, valid = list(config.allowed_labels), gate_inputs(scored, config).select("passed").scalar()
     scored = scored.where(F.col("label").isin(*allowed) & F.col("prediction").isin(*allowed))
     total = F.sum("support")
 
@@ -62,6 +62,7 @@ def gate_facts(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
     return (
         row.withColumn("calibration", calibration)
         .withColumn("roc_auc", auc)
+        .withColumn("inputs_valid", valid)
         .withColumn("false_positives", F.when(two, F.col("_fp")))
         .withColumn("false_negatives", F.when(two, F.col("_fn")))
         .drop("_fp", "_fn", "_known", "_k")
@@ -193,8 +194,15 @@ GATES = {
 
 
 def gate(scored: DataFrame, name: str, config: GateConfig = DEFAULT) -> DataFrame:
-    """Result rows of one gate."""
-    return gate_facts(scored, config).select(F.inline(GATES[name](config)))
+    """Result rows of one gate; a judged row passes only if the input is valid."""
+    return _judged(gate_facts(scored, config), GATES[name](config))
+
+
+def _judged(facts: DataFrame, rows: Column) -> DataFrame:
+    out = facts.select("inputs_valid", F.inline(rows))
+    # What is only reported stays null.
+    judged = F.when(F.col("passed").isNotNull(), F.col("passed") & F.coalesce("inputs_valid", F.lit(False)))
+    return out.withColumn("passed", judged).drop("inputs_valid")
 
 
 def gate_inputs(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
@@ -216,7 +224,7 @@ def gate_inputs(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
 def gate_rows(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
     """Result rows of all gates, from one row of facts."""
     every = reduce(lambda a, b: F.concat(a, b), (make(config) for make in GATES.values()))
-    return gate_facts(scored, config).select(F.inline(every))
+    return _judged(gate_facts(scored, config), every)
 
 
 def model_gate_report(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:

@@ -24,8 +24,8 @@ class Fitted:
     history: list[dict]
 
 
-def with_tokens(df: DataFrame, text: str, max_tokens: int) -> DataFrame:
-    """Add the truncated token array, lightly cleaned like texts to be scored."""
+def with_tokens(df: DataFrame, text: str, max_tokens: int | None = None) -> DataFrame:
+    """Add the token array, lightly cleaned like texts to be scored; cut to ``max_tokens`` if given."""
     return df.withColumn("tokens", X.tokens(X.clean_light(text), max_tokens))
 
 
@@ -41,16 +41,16 @@ def scored_columns(transformed: DataFrame, label: str) -> DataFrame:
 def train(df: DataFrame, text: str, label: str, config: TrainConfig = TrainConfig()) -> Fitted:
     """Fit on ``split = train`` along a ladder of penalties; keep the best F1 on ``split = validation``.
 
-    The search ends after ``patience`` steps without a gain of at least ``min_gain``.  The test rows are
-    never read.  Only one row of metrics per step reaches the driver.
+    The search ends after ``patience`` steps without a gain of at least ``min_gain`` over the last such gain; a
+    better model is kept however small its gain.  The test rows are never read.  Only one row of metrics per step reaches the driver.
     """
     rows = with_tokens(df.where(F.col("split").isin("train", "validation")), text, config.max_tokens)
     rows = rows.select("split", F.col(label).cast("double").alias(label), "tokens")
     hashing = HashingTF(inputCol="tokens", outputCol="_counts", numFeatures=config.features)
-    weighting = IDF(inputCol="_counts", outputCol="features", minDocFreq=2)
+    weighting = IDF(inputCol="_counts", outputCol="features", minDocFreq=config.min_texts)
     front = Pipeline(stages=[hashing, weighting]).fit(rows.where("split = 'train'"))
     features = front.transform(rows).select("split", label, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    best, history, waited = None, [], 0
+    best, mark, history, waited = None, None, [], 0
     try:
         for reg in config.reg_ladder:
             fitted = LogisticRegression(labelCol=label, maxIter=config.max_iter, regParam=reg).fit(
@@ -59,8 +59,11 @@ def train(df: DataFrame, text: str, label: str, config: TrainConfig = TrainConfi
             scored = scored_columns(fitted.transform(features.where("split = 'validation'")), label)
             row = classification_metrics(scored).first()
             history.append({"reg_param": reg, "accuracy": row["accuracy"], "f1": row["f1"]})
-            if best is None or (row["f1"] or 0.0) >= best[0] + config.min_gain:
-                best, waited = (row["f1"] or 0.0, reg, fitted), 0
+            f1 = row["f1"] or 0.0
+            if best is None or f1 > best[0]:
+                best = (f1, reg, fitted)
+            if mark is None or f1 >= mark + config.min_gain:
+                mark, waited = f1, 0
             else:
                 waited += 1
                 if waited >= config.patience:

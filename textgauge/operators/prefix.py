@@ -14,49 +14,49 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP = 16
-RANGES = STEP * STEP
+STEP = 64
 
 
-def _sample(freq: DataFrame, order: str) -> DataFrame:
+def _sample(freq: DataFrame, order: str, step: int) -> DataFrame:
     # Ordering by every column keeps them all in the plan, so the shuffle behind ``freq`` is the one
     # that the other uses of ``freq`` have, and runs once.
     others = [c for c in freq.columns if c != order]
-    return freq.orderBy(F.xxhash64(order), order, *others).limit(RANGES).select(F.col(order).alias("_v"))
+    return freq.orderBy(F.xxhash64(order), order, *others).limit(step * step).select(F.col(order).alias("_v"))
 
 
-def _cuts(freq: DataFrame, order: str) -> Column:
-    """At most ``RANGES`` sorted values in runs of ``STEP``, with the last value of each run: a scalar subquery."""
-    found = _sample(freq, order).agg(F.array_sort(F.collect_set("_v")).alias("_s"))
-    runs = F.transform(F.sequence(F.lit(0), F.lit(STEP - 1)), lambda i: F.slice("_s", i * STEP + 1, F.lit(STEP)))
+def _cuts(freq: DataFrame, order: str, step: int) -> Column:
+    """At most ``step * step`` sorted values in runs of ``step``, with the last value of each run: a scalar subquery."""
+    found = _sample(freq, order, step).agg(F.array_sort(F.collect_set("_v")).alias("_s"))
+    runs = F.transform(F.sequence(F.lit(0), F.lit(step - 1)), lambda i: F.slice("_s", i * step + 1, F.lit(step)))
     found = found.select(runs.alias("runs"))
     return found.select(F.struct("runs", F.transform("runs", lambda r: F.array_max(r)).alias("lasts")).alias("_c")).scalar()
 
 
-def _with_range(freq: DataFrame, order: str) -> DataFrame:
+def _with_range(freq: DataFrame, order: str, step: int) -> DataFrame:
     """Add ``_range``: a number that rises with the value and changes at every cut.
 
-    The run is found first, then the place in it: 2 * STEP comparisons.  Never null: a join on a nullable
+    The run is found first, then the place in it: 2 * step comparisons.  Never null: a join on a nullable
     column would add a null filter, which would be pushed below the aggregate behind ``freq`` and search
     the cuts for every row instead of every distinct value.
     """
     value = F.col(order)
     run = F.size(F.filter("_cuts.lasts", lambda c: c < value))
     place = F.size(F.filter(F.get("_cuts.runs", F.col("_run")), lambda c: c < value))
-    marked = freq.withColumn("_cuts", _cuts(freq, order)).withColumn("_run", run)
-    ranged = F.coalesce(F.col("_run") * STEP, F.lit(0)) + F.coalesce(F.greatest(place, F.lit(0)), F.lit(0))
+    marked = freq.withColumn("_cuts", _cuts(freq, order, step)).withColumn("_run", run)
+    ranged = F.coalesce(F.col("_run") * step, F.lit(0)) + F.coalesce(F.greatest(place, F.lit(0)), F.lit(0))
     return marked.withColumn("_range", ranged).drop("_cuts", "_run")
 
 
 def running_totals(
-    freq: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = ()
+    freq: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), step: int = STEP
 ) -> DataFrame:
     """Add ``<s>_upto`` (running sum in ascending ``order``, own row included) and ``<s>_total``.
 
-    ``freq`` has one row per (by, order) and no null in either.
+    ``freq`` has one row per (by, order) and no null in either.  Values are cut into ``step * step`` ranges: a range
+    should fit a task, and any number gives the same result.
     """
     by = list(by)
-    ranged = _with_range(freq, order)
+    ranged = _with_range(freq, order, step)
     totals = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
     group = Window.partitionBy(*by) if by else Window.partitionBy()
     ahead = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,7 +103,7 @@ def quantile_columns(value: str, probs: dict[str, float]) -> list[Column]:
 
 
 def summarize(
-    df: DataFrame, value: str, probs: dict[str, float] | None = None, by: Sequence[str] = ()
+    df: DataFrame, value: str, probs: dict[str, float] | None = None, by: Sequence[str] = (), step: int = STEP
 ) -> DataFrame:
     """Count, min, max, mean, sample standard deviation and exact quantiles per group.
 
@@ -111,9 +111,9 @@ def summarize(
     """
     probs = {"median": 0.5} if probs is None else probs
     freq = frequencies(df, value, by)
-    cum = running_totals(freq, value, ["n"], by)
+    cum = running_totals(freq, value, ["n"], by, step)
     # Sums are taken around a sampled middle value, which keeps the variance free of cancellation.
-    centre = _sample(freq, value).agg(F.percentile_approx("_v", 0.5).cast("double").alias("_m")).scalar()
+    centre = _sample(freq, value, step).agg(F.percentile_approx("_v", 0.5).cast("double").alias("_m")).scalar()
     cum = cum.withColumn("_d", F.col(value).cast("double") - centre)
     n = F.sum("n").cast("double")
     first, second = F.sum(F.col("n") * F.col("_d")), F.sum(F.col("n") * F.col("_d") * F.col("_d"))

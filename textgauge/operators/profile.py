@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgauge.config import CLASSES
 from textgauge.functions import text as X
 from textgauge.functions.digests import names
 from textgauge.operators.dedup import duplicate_rows
@@ -93,9 +92,12 @@ def length_by_class(df: DataFrame, text: str, label: str) -> DataFrame:
 
 def linguistic_by_class(df: DataFrame, text: str, label: str) -> DataFrame:
     """Means of sentence and punctuation counts per class."""
-    return df.where(F.col(label).isNotNull()).groupBy(label).agg(
-        F.avg(X.sentence_count(text)).alias("sentences"),
-        F.avg(X.words_per_sentence(text)).alias("words_per_sentence"),
+    rows = df.where(F.col(label).isNotNull()).select(label, text)
+    rows = X.compute_once(rows, _sentences=X.sentence_count(text), _words=X.word_count(text))
+    per = F.when(F.col("_sentences") > 0, F.col("_words").cast("double") / F.col("_sentences")).otherwise(0.0)
+    return rows.groupBy(label).agg(
+        F.avg("_sentences").alias("sentences"),
+        F.avg(per).alias("words_per_sentence"),
         F.avg(X.count_of(text, ",")).alias("commas"),
         F.avg(X.count_of(text, ".")).alias("periods"),
     )
@@ -121,16 +123,12 @@ def length_histogram(df: DataFrame, value: str, label: str, bins: int = 50) -> D
     )
 
 
-def box_summary(df: DataFrame, value: str, label: str, classes: Sequence[int] = CLASSES) -> DataFrame:
-    """Quartiles, whiskers at 1.5 interquartile ranges and rows outside them, per listed class."""
-    rows = df.where(F.col(label).isin(*classes))
+def box_summary(df: DataFrame, value: str, label: str, classes: Sequence | None = None) -> DataFrame:
+    """Quartiles, whiskers at 1.5 interquartile ranges and rows outside them, per class; of the listed ones if given."""
+    rows = df if classes is None else df.where(F.col(label).isin(*classes))
     freq = frequencies(rows, value, [label])
     quartiles = running_totals(freq, value, ["n"], [label]).groupBy(label).agg(*quantile_columns(value, QUARTILES))
-    # One map entry per listed class, hence small enough for every task.
-    lookup = quartiles.agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(label), F.struct("q1", "median", "q3")))).alias("_m")
-    ).scalar()
-    boxed = freq.withColumn("_m", lookup).withColumn("_q", F.element_at("_m", F.col(label)))
+    boxed = freq.join(quartiles.select(label, F.struct("q1", "median", "q3").alias("_q")), label)
     spread = (F.col("_q.q3") - F.col("_q.q1")) * 1.5
     inside = F.col(value).between(F.col("_q.q1") - spread, F.col("_q.q3") + spread)
     return boxed.groupBy(label).agg(

@@ -48,7 +48,7 @@ def check_quality(df: DataFrame, config: QualityConfig = DEFAULT) -> DataFrame:
         empty = empty & F.coalesce(F.col(c) == "", F.lit(False))
     missing = {f"_m{i}": F.col(c).isNull() for i, c in enumerate(df.columns)}
     groups = (
-        df.select(row_digest(df.columns).alias("_d"), empty.alias("_e"), *[m.alias(name) for name, m in missing.items()])
+        df.select(row_digest(df, df.columns).alias("_d"), empty.alias("_e"), *[m.alias(name) for name, m in missing.items()])
         .groupBy("_d")
         .agg(F.count(F.lit(1)).alias("_n"), F.bool_or("_e").alias("_e"), *[F.bool_or(name).alias(name) for name in missing])
     )

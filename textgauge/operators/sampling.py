@@ -1,6 +1,7 @@
 """Repeatable sampling, balancing and splitting.
 
-Random order is the md5 of seed and key.  Instead of ranking all rows, the job finds the *threshold
+Random order is the md5 of the operator's name, seed and key; so a sample, a balanced table and a split are drawn
+independently of each other and can follow one another.  Instead of ranking all rows, the job finds the *threshold
 digest* at which a class reaches its target size, and keeps rows up to it with a map-side filter:
 
 1. count rows per (class, leading digest digits) - at most 65,536 small rows per class;
@@ -8,8 +9,9 @@ digest* at which a class reaches its target size, and keeps rows up to it with a
 3. rank only the rows of that bucket and read off the row at the target.
 
 Texts are never shuffled for this; only (class, key, digest) rows of one bucket are.  Thresholds are
-kept in a map with one entry per class, hence the class list must be given.  When it is not known,
-``class_rank`` computes every row's rank by a shuffle on (class, bucket) instead; both give the same rows.
+kept in a map with one entry per class.  A class list that isn't given is counted first, a small job of its own.
+Only where there are too many classes for a map does ``class_rank`` compute every row's rank, by a shuffle on
+(class, bucket); both give the same rows.
 """
 
 from __future__ import annotations
@@ -22,10 +24,20 @@ from pyspark.sql import functions as F
 from textgauge.config import SEED, SplitConfig
 from textgauge.functions.digests import key_struct, names, order_bucket, order_digest
 
+SAMPLE, BALANCE, SPLIT = "sample", "balance", "split"
+MOST_CLASSES = 1000
 
-def _narrow(df: DataFrame, key, seed: int, label: str | None, classes: Sequence | None = None) -> DataFrame:
+
+def class_list(df: DataFrame, label: str) -> list | None:
+    """The classes of a table, or nothing if there are more than a map in every task should hold."""
+    most = MOST_CLASSES
+    found = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n")).select(label).take(most + 1)
+    return [r[0] for r in found] if len(found) <= most else None
+
+
+def _narrow(df: DataFrame, key, seed: int, label: str | None, classes: Sequence | None, purpose: str) -> DataFrame:
     code = F.col(label) if label else F.lit(0)
-    rows = df.select(code.alias("_c"), key_struct(key).alias("_k"), order_digest(key, seed).alias("_h"))
+    rows = df.select(code.alias("_c"), key_struct(key).alias("_k"), order_digest(key, seed, purpose).alias("_h"))
     if label:
         rows = rows.where(F.col("_c").isNotNull())
         if classes is not None:
@@ -85,19 +97,19 @@ def thresholds(narrow: DataFrame, targets: Sequence[Callable[[Column], Column]])
     return found.agg(F.map_from_entries(F.collect_list(F.struct("_c", "_t"))).alias("_m")).scalar()
 
 
-def within(limits: Column, code: Column, cut: int, key, seed: int) -> Column:
+def within(limits: Column, code: Column, cut: int, key, seed: int, purpose: str) -> Column:
     """Is this row at or before the threshold of its class?  True where there is no threshold."""
     limit = F.element_at(F.element_at(limits, code), F.lit(cut))
-    here = F.struct(order_digest(key, seed).alias("h"), key_struct(key).alias("k"))
+    here = F.struct(order_digest(key, seed, purpose).alias("h"), key_struct(key).alias("k"))
     return F.coalesce(here <= limit, F.lit(True))
 
 
-def class_rank(df: DataFrame, label: str, key, seed: int = SEED) -> DataFrame:
+def class_rank(df: DataFrame, label: str, key, seed: int = SEED, purpose: str = BALANCE) -> DataFrame:
     """``(key, label, class_rank, class_size)``: each row's place in the random order of its class.
 
     One shuffle of narrow rows by (class, bucket); a large class spreads over all buckets.
     """
-    narrow = _narrow(df, key, seed, label)
+    narrow = _narrow(df, key, seed, label, None, purpose)
     place = Window.partitionBy("_c", "_b").orderBy("_h", "_k")
     totals = _bucket_totals(narrow).select(
         "_c", "_b", (F.col("_upto") - F.col("_n")).alias("_before"), F.col("_size").alias("class_size")
@@ -115,8 +127,8 @@ def sample_rows(df: DataFrame, n: int, key, seed: int = SEED) -> DataFrame:
     """Exactly ``n`` rows in random order of the key, or all rows if there are no more."""
     if n <= 0:
         raise ValueError("n must be positive")
-    limits = thresholds(_narrow(df, key, seed, None), [lambda size: F.lit(n)])
-    return df.where(within(limits, F.lit(0), 0, key, seed))
+    limits = thresholds(_narrow(df, key, seed, None, None, SAMPLE), [lambda size: F.lit(n)])
+    return df.where(within(limits, F.lit(0), 0, key, seed, SAMPLE))
 
 
 def balance_classes(
@@ -132,14 +144,15 @@ def balance_classes(
     With ``max_ratio`` this happens only if smallest/largest lies below it.  Rows without a label
     (or, when ``classes`` is given, with another label) are dropped.
     """
-    narrow = _narrow(df, key, seed, label, classes)
+    classes = class_list(df, label) if classes is None else classes
+    narrow = _narrow(df, key, seed, label, classes, BALANCE)
     common = _common_size(narrow, max_ratio)
     if classes is None:
         ranks = class_rank(df, label, key, seed)
         keep = ranks.where(F.col("class_rank") <= F.coalesce(common, F.col("class_size"))).select(*names(key))
         return df.join(keep, names(key), "left_semi")
     limits = thresholds(narrow, [lambda size: F.coalesce(common, size)])
-    return df.where(F.col(label).isin(*classes) & within(limits, F.col(label), 0, key, seed))
+    return df.where(F.col(label).isin(*classes) & within(limits, F.col(label), 0, key, seed, BALANCE))
 
 
 def _share(size: Column, share: float) -> Column:
@@ -158,15 +171,16 @@ def split_rows(
     def validation_end(size: Column) -> Column:
         return size - _share(_share(size, held), config.test / held)
 
+    classes = class_list(df, label) if classes is None else classes
     if classes is None:
-        ranks = class_rank(df, label, key, config.seed).drop(label)
+        ranks = class_rank(df, label, key, config.seed, SPLIT).drop(label)
         rank, size = F.col("class_rank"), F.col("class_size")
         split = F.when(rank <= train_end(size), "train").when(rank <= validation_end(size), "validation")
         return df.join(ranks, names(key)).withColumn("split", split.otherwise("test")).drop("class_rank", "class_size")
-    limits = thresholds(_narrow(df, key, config.seed, label, classes), [train_end, validation_end])
+    limits = thresholds(_narrow(df, key, config.seed, label, classes, SPLIT), [train_end, validation_end])
     split = (
-        F.when(within(limits, F.col(label), 0, key, config.seed), "train")
-        .when(within(limits, F.col(label), 1, key, config.seed), "validation")
+        F.when(within(limits, F.col(label), 0, key, config.seed, SPLIT), "train")
+        .when(within(limits, F.col(label), 1, key, config.seed, SPLIT), "validation")
         .otherwise("test")
     )
     return df.where(F.col(label).isin(*classes)).withColumn("split", split)
@@ -174,7 +188,7 @@ def split_rows(
 
 def split_rows_by_hash(df: DataFrame, key, config: SplitConfig = SplitConfig()) -> DataFrame:
     """Approximate split by digest value alone: no shuffle, sizes right only on average."""
-    place = F.conv(F.substring(order_digest(key, config.seed), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    place = F.conv(F.substring(order_digest(key, config.seed, SPLIT), 1, 8), 16, 10).cast("double") / float(1 << 32)
     train = 1.0 - config.validation - config.test
     split = F.when(place < train, "train").when(place < train + config.validation, "validation").otherwise("test")
     return df.withColumn("split", split)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Transformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,6 +90,23 @@ def score_with_model(df: DataFrame, model, config: ScoreConfig = ScoreConfig())
     return _result_columns(scored, df.columns, probabilities, F.lit(None).cast("double"), error, config)
 
 
+def score(df: DataFrame, scorer, config: ScoreConfig = ScoreConfig()) -> DataFrame:
+    """Score with a plug-in predictor or with a fitted Spark ML model."""
+    return score_with_model(df, scorer, config) if isinstance(scorer, Transformer) else score_texts(df, scorer, config)
+
+
+def prediction_log(scored: DataFrame, at: Column | None = None) -> DataFrame:
+    """What is kept of each scored text: ``ts, text_length, prediction, confidence, inference_time, failed``."""
+    return scored.select(
+        (F.current_timestamp() if at is None else at).alias("ts"),
+        F.col("processed_text_length").alias("text_length"),
+        "prediction",
+        "confidence",
+        "inference_time",
+        F.col("processing_error").alias("failed"),
+    )
+
+
 def _result_columns(
     scored: DataFrame, keep: list[str], probabilities: Column, seconds: Column, error: Column, config: ScoreConfig
 ) -> DataFrame:

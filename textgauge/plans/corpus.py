@@ -25,9 +25,9 @@ from textgauge.functions import text as X
 from textgauge.functions.digests import key_struct, names, numeric_key, text_digest
 from textgauge.operators.prefix import summarize
 from textgauge.operators.quality import validation_report
-from textgauge.operators.sampling import _common_size, _narrow, sample_rows, thresholds, within
-from textgauge.sources.inventory import list_files
-from textgauge.sources.readers import read_corpus, require_columns
+from textgauge.operators.sampling import BALANCE, _common_size, _narrow, sample_rows, thresholds, within
+from textgauge.sources.inventory import listing
+from textgauge.sources.readers import locate_corpus, read_corpus, require_columns
 from textgauge.sources.stage_cache import cached_stage
 
 
@@ -105,7 +105,7 @@ def _flags(label: Column, copies: Column, labelled: Column, in_limits: Column) -
 
 def _class_limits(firsts: DataFrame, cols: list[str], config: CorpusConfig, classes: Sequence[int]) -> Column:
     """Balancing thresholds from the first copies that fit."""
-    narrow = _narrow(firsts.where("_fits"), cols, config.seed, "_label", classes)
+    narrow = _narrow(firsts.where("_fits"), cols, config.seed, "_label", classes, BALANCE)
     common = _common_size(narrow, None)
     return thresholds(narrow, [lambda size: F.coalesce(common, size)])
 
@@ -114,10 +114,11 @@ def _candidates(df: DataFrame, cols: list[str], config: CorpusConfig, classes: S
     """Finished rows that pass everything a row can be judged by on its own, the cheap tests first."""
     out = [*cols, config.text, config.label] + ([config.source] if config.source in df.columns else [])
     texts = df.where(F.col(config.text).isNotNull() & F.col(config.label).isNotNull())
-    texts = texts.where(F.length(config.text) >= config.min_length)  # cleaning never lengthens a text
+    if not config.lowercase:  # else cleaning may lengthen a text: one letter can become two
+        texts = texts.where(F.length(config.text) >= config.min_length)
     if limits is not None:
         texts = texts.where(
-            F.col(config.label).isin(*classes) & within(limits, F.col(config.label), 0, cols, config.seed)
+            F.col(config.label).isin(*classes) & within(limits, F.col(config.label), 0, cols, config.seed, BALANCE)
         )
     texts = X.compute_once(texts.select(*out), _clean=_clean(config))
     texts = texts.where(F.length("_clean").between(config.min_length, config.max_length))
@@ -257,9 +258,8 @@ def corpus_job(
     Each stage is stored under the fingerprint of everything that shapes it, the input's files included,
     and read instead of built while that stays the same.
     """
-    files = list_files(spark, source, filename or "*.parquet")
-    size = files.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.max("modified").alias("at")).first()
-    params = {"source": source, "file": filename, **size.asDict(), "key": names(key), "sample": sample}
+    files = listing(spark, locate_corpus(spark, source, filename))
+    params = {"source": source, "file": filename, **files, "key": names(key), "sample": sample}
     params.update(human=list(human), ai=list(ai), **config.params())
 
     def store(name: str, build: Callable[[], DataFrame]) -> DataFrame:

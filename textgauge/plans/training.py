@@ -26,10 +26,17 @@ def train_and_score(
     key,
     config: TrainConfig = TrainConfig(),
     classes: Sequence[int] = CLASSES,
+    folder: str | None = None,
 ) -> tuple[Fitted, DataFrame]:
-    """The fitted model, and all corpus rows with their split, class and scores."""
+    """The fitted model, and all corpus rows with their split, class and scores.
+
+    With a ``folder`` that tasks share, the split rows are stored there and read by fit and scoring; without it the
+    split is computed for each of them.
+    """
     ready = corpus.where(F.col(text).isNotNull() & F.col(label).isNotNull())
     ready = split_rows(ready, label, key, config.split, classes)
+    if folder is not None:
+        ready = corpus.sparkSession.read.parquet(write_split(ready, f"{folder.rstrip('/')}/split"))
     fitted = train(ready, text, label, config)
     scores = ScoreConfig(text=text, max_tokens=config.max_tokens)
     return fitted, score_with_model(ready, fitted.model, scores)
@@ -61,7 +68,7 @@ def training_job(
 
     The scores are written once, one folder per split, and only the test folder is read for evaluation.
     """
-    fitted, rows = train_and_score(corpus, text, label, key, config, classes)
+    fitted, rows = train_and_score(corpus, text, label, key, config, classes, base)
     fitted.model.write().overwrite().save(f"{base}/model")
     stored = corpus.sparkSession.read.parquet(write_split(rows.drop(text), f"{base}/scores"))
     test = scored_table(stored.where(F.col("split") == "test"), label)

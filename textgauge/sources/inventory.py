@@ -21,12 +21,27 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
+def listing(spark: SparkSession, path: str) -> dict:
+    """What tells one state of a table's Parquet files from another: number, bytes, latest time, a digest of all."""
+    files = list_files(spark, path, "*.parquet")
+    found = files.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("size").alias("bytes"),
+        F.max("modified").alias("latest"),
+        F.bit_xor(F.xxhash64("path", "size", "modified")).alias("digest"),
+        F.sum(F.xxhash64("modified", "size", "path").cast("decimal(38, 0)")).alias("total"),
+    ).first()
+    if not found["files"]:
+        raise ValueError(f"no Parquet files at {path}")
+    return found.asDict()
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key, columns: Sequence[str] | None = None) -> DataFrame:
     """Per key: added, changed, unchanged or removed.  Only keys and row digests are shuffled."""
     cols = names(key)
     compared = list(columns or [c for c in new.columns if c not in cols])
-    before = old.select(*cols, row_digest(compared).alias("_old"))
-    after = new.select(*cols, row_digest(compared).alias("_new"))
+    before = old.select(*cols, row_digest(old, compared).alias("_old"))
+    after = new.select(*cols, row_digest(new, compared).alias("_new"))
     status = (
         F.when(F.col("_old").isNull(), "added")
         .when(F.col("_new").isNull(), "removed")

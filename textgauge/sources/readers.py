@@ -14,15 +14,23 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
 
 
-def read_corpus(spark: SparkSession, folder: str, filename: str | None = None) -> DataFrame:
-    """The named Parquet table of a folder; if it is missing, all Parquet files there."""
+def locate_corpus(spark: SparkSession, folder: str, filename: str | None = None) -> str:
+    """The path of the named Parquet table of a folder; if it is missing, the folder's."""
     if filename:
+        path = f"{folder.rstrip('/')}/{filename}"
         try:
-            return spark.read.parquet(f"{folder.rstrip('/')}/{filename}")
+            spark.read.format("binaryFile").load(path)  # resolves the path, reads nothing
+            return path
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-    return read_folder(spark, folder)
+    return folder
+
+
+def read_corpus(spark: SparkSession, folder: str, filename: str | None = None) -> DataFrame:
+    """The named Parquet table of a folder; if it is missing, all Parquet files there."""
+    path = locate_corpus(spark, folder, filename)
+    return read_folder(spark, path) if path == folder else spark.read.parquet(path)
 
 
 def read_export(spark: SparkSession, folder: str, split: str = "train", format: str = "parquet") -> DataFrame:
@@ -30,19 +38,24 @@ def read_export(spark: SparkSession, folder: str, split: str = "train", format:
     return spark.read.format(format).load(f"{folder.rstrip('/')}/{split}")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with header; quoted fields may hold line breaks and doubled quotes."""
-    return spark.read.options(**CSV_OPTIONS, multiLine=True, emptyValue="").schema(schema).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
+    """CSV with header; quoted fields may hold line breaks and doubled quotes.
+
+    Without a schema the header names the columns and all are strings.  Files whose fields hold no line breaks
+    can be split among tasks: pass ``multi_line=False``.
+    """
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, emptyValue="")
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, format: str | None = None
 ) -> DataFrame:
-    """Reader by suffix: CSV (needs a schema) or Parquet."""
+    """Reader by suffix: CSV or Parquet."""
     kind = format or path.rstrip("/").rsplit(".", 1)[-1].lower()
     if kind == "csv":
-        if schema is None:
-            raise ValueError("a CSV table needs its schema")
         return read_csv(spark, path, schema)
     if kind in ("parquet", "pq"):
         return spark.read.parquet(path)

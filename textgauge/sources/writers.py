@@ -21,8 +21,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_table(df: DataFrame, path: str) -> str:
-    """Writer by suffix; anything but Parquet becomes CSV."""
+def write_table(df: DataFrame, path: str, format: str | None = None) -> str:
+    """Writer by the path's suffix, or in the given format where it has none; anything but Parquet becomes CSV."""
+    name = path.rstrip("/").rpartition("/")[2]
+    if format in ("parquet", "pq") and "." not in name:
+        return write_parquet(df, path)
     if path.rstrip("/").lower().endswith((".parquet", ".pq")):
         return write_parquet(df, path)
     return write_csv(df, path)
@@ -35,5 +38,6 @@ def write_split(df: DataFrame, path: str) -> str:
 
 def write_summary(summary: DataFrame, path: str) -> str:
     """JSON lines of an aggregated (hence small) table, in one file."""
-    summary.coalesce(1).write.mode("overwrite").json(path)
+    # Aggregated and stored rows first: the one task only writes.
+    summary.repartition(1).write.mode("overwrite").json(path)
     return path

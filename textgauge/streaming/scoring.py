@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from textgauge.config import ScoreConfig
-from textgauge.operators.scoring import Predictor, input_status, score_texts
+from textgauge.operators.scoring import Predictor, input_status, score
 
 
 def read_stream(
@@ -23,9 +24,9 @@ def read_stream(
     )
 
 
-def score_stream(texts: DataFrame, predictor: Predictor, config: ScoreConfig = ScoreConfig()) -> DataFrame:
-    """Scored rows with the input status; works alike on a stream and on a table."""
-    return score_texts(texts.withColumn("input_status", input_status(config.text)), predictor, config)
+def score_stream(texts: DataFrame, scorer: Predictor | PipelineModel, config: ScoreConfig = ScoreConfig()) -> DataFrame:
+    """Scored rows with the input status, by a plug-in predictor or a fitted model; alike on a stream and on a table."""
+    return score(texts.withColumn("input_status", input_status(config.text)), scorer, config)
 
 
 def write_stream(rows: DataFrame, path: str, checkpoint: str, mode: str = "append", once: bool = False) -> StreamingQuery:
