@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textgauge.catalog.registry import table
 from textgauge.llm import embeddings, hilbert, language, mixing, packing, secrets, simhash, toxicity, wavelet, weighted
+from textgauge.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +19,11 @@ REST = 36
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def with_package(spark, sf):
+            ship(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = with_package
         if sql is not None:
             ORACLES[name] = sql
         return fn

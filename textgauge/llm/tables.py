@@ -2,13 +2,39 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import textgauge
+
 from textgauge.session import scratch_path
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the tasks of a session, whatever folder it was started in; done once a session.
+
+    Spark itself carries the archive to the executors; the driver's copy is only its source.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(textgauge.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="textgauge-code-"), "textgauge.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(root):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
 
 def narrow(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Only the named columns, under the operator's own names: further columns can't clash."""
