@@ -371,6 +371,18 @@ def _(spark, sf):
     return vocabulary.top_words(labelled(spark, sf), "text", "generated", k=5000)
 
 
+@query(
+    "top_bigrams",
+    f"""select cast(generated as integer) as generated, cast(rank as integer) as rank, word, n from (
+      select generated, word, count(*) as n, row_number() over (partition by generated order by count(*) desc, word) as rank
+      from (select generated, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as word from (
+        select generated, list_filter(string_split_regex(lower(text), '[{SPACE}]+'), lambda x: x <> '') as w from {LABELLED}))
+      group by generated, word) where rank <= 100""",
+)
+def _(spark, sf):
+    return vocabulary.top_words(labelled(spark, sf), "text", "generated", size=2)
+
+
 # ---- the corpus job ----
 
 

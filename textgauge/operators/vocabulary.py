@@ -14,11 +14,16 @@ from textgauge.config import AI, HUMAN
 from textgauge.functions import text as X
 
 
-def class_words(df: DataFrame, text: str, label: str) -> DataFrame:
-    """One row per word occurrence: (label, word), lower-cased."""
-    rows = df.where(F.col(label).isNotNull()).select(
-        label, F.explode(X.words(F.lower(F.coalesce(F.col(text), F.lit("None"))))).alias("word")
-    )
+def class_words(df: DataFrame, text: str, label: str, size: int = 1) -> DataFrame:
+    """One row per occurrence of ``size`` neighbouring words, joined by blanks: (label, word), lower-cased."""
+    words = X.words(F.lower(F.coalesce(F.col(text), F.lit("None"))))
+    if size > 1:
+        kept = F.filter(words, lambda w: w != "")
+        starts = F.sequence(F.lit(1), F.size("_w") - size + 1)
+        runs = F.transform(starts, lambda i: F.array_join(F.slice("_w", i, size), " "))
+        rows = X.compute_once(df.where(F.col(label).isNotNull()).select(label, text), _w=kept)
+        return rows.where(F.size("_w") >= size).select(label, F.explode(runs).alias("word"))
+    rows = df.where(F.col(label).isNotNull()).select(label, F.explode(words).alias("word"))
     return rows.where(F.col("word") != "")
 
 
@@ -48,14 +53,14 @@ def vocabulary_overlap(df: DataFrame, text: str, label: str, human: int = HUMAN,
 
 
 def top_words(
-    df: DataFrame, text: str, label: str, k: int = 100, stop_words: Sequence[str] = (), parts: int = 64
+    df: DataFrame, text: str, label: str, k: int = 100, stop_words: Sequence[str] = (), parts: int = 64, size: int = 1
 ) -> DataFrame:
-    """The ``k`` most frequent words per class; ties by word.
+    """The ``k`` most frequent words, or runs of ``size`` words, per class; ties by word.
 
     Words are ranked within ``parts`` hash parts of a class first, so no task sorts a class's whole vocabulary; at
     most ``k`` words of each part meet in the last ranking, whatever ``k`` is.
     """
-    words = class_words(df, text, label)
+    words = class_words(df, text, label, size)
     if stop_words:
         words = words.where(~F.col("word").isin(*stop_words))
     counts = words.groupBy(label, "word").agg(F.count(F.lit(1)).alias("n"))
