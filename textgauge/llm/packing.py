@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,6 +138,9 @@ def pack(
     key: str = "doc_id",
     text: str = "text",
     cuts: int = 256,
+    order: DataFrame | None = None,
+    period: int = 100,
+    range_tokens: int = 1 << 18,
 ) -> tuple[DataFrame, DataFrame]:
     """Cut all documents into pieces and give each a place in a sequence of at most ``window`` tokens.
 
@@ -146,11 +150,17 @@ def pack(
 
     A null or empty text is its end token alone.  A null key is kept.  Rows with equal keys are packed like
     others; ``piece_id`` tells their pieces apart.  An empty table gives two empty tables.
+
+    ``order`` (``doc_id, slot, byte_start``, as ``mixing.mix`` returns) makes sequences follow a mixture: they are
+    planned within consecutive ranges of its order, each of whole periods of slots and about ``range_tokens`` or one
+    period, and numbered range by range, whole windows included.
     """
     rows = narrow(docs, {"doc_id": key, "_text": text}).select(F.col("doc_id").cast("long"), F.col("_text").cast("binary"))
     schema = "doc_id long, start long, length long, doc_tokens long, ids binary"
     cut = rows.mapInArrow(_pieces(tokenizer or tokenizer_path(), window, end), schema)
     pieces = stored(cut.withColumn("piece_id", F.monotonically_increasing_id()), "pack-pieces")
+    if order is not None:
+        return pieces, _in_order(pieces, order, window, period, range_tokens)
     layout = pieces.select("piece_id", "length")
 
     found = layout.filter(F.col("length") < window).groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -186,6 +196,49 @@ def pack(
     return pieces, placed.unionByName(full)
 
 
+def _in_order(pieces: DataFrame, order: DataFrame, window: int, period: int, range_tokens: int) -> DataFrame:
+    """Places within consecutive ranges of the order; what the order doesn't know comes last."""
+    firsts = order.groupBy(F.col("doc_id").cast("long").alias("_k")).agg(F.min(F.struct("slot", "byte_start")).alias("_place"))
+    layout = pieces.select("piece_id", "doc_id", "start", "length").join(firsts, F.col("doc_id").eqNullSafe(F.col("_k")), "left")
+    slot = F.coalesce(F.col("_place.slot"), F.lit(1 << 62))
+    layout = layout.select("piece_id", "doc_id", "start", "length", slot.alias("slot"), F.coalesce("_place.byte_start", F.lit(0)).alias("byte_start"))
+    layout = stored(layout.withColumn("_period", F.expr(f"slot div {period}")), "pack-layout")
+    # One row per period, hence few; a range begins where the tokens before it pass a multiple.
+    periods = layout.groupBy("_period").agg(F.sum("length").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_period").rowsBetween(Window.unboundedPreceding, -1))
+    periods = periods.withColumn("_before", F.coalesce(before, F.lit(0)))
+    periods = periods.select("_period", F.expr(f"_before div {range_tokens}").alias("_range"))
+    rows = layout.join(periods, "_period").drop("_period")
+
+    def place(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(["slot", "byte_start", "doc_id", "start", "piece_id"], ignore_index=True)
+        length = own["length"].to_numpy()
+        sequence, offset, filled = (np.zeros(len(own), np.int64) for _ in range(3))
+        whole = np.flatnonzero(length == window)
+        sequence[whole], filled[whole] = np.arange(len(whole)), window
+        # Remainders of a length, in order; each window takes the next ones.
+        by_length = np.argsort(length, kind="stable")
+        counts = np.bincount(length, minlength=window + 1)
+        taken, base = np.cumsum(counts) - counts, len(whole)
+        counts[window] = 0
+        for lengths, repeats in plan(counts, window):
+            at = 0
+            for p in lengths:
+                rows = by_length[taken[p] : taken[p] + repeats]
+                sequence[rows], offset[rows], filled[rows] = base + np.arange(repeats), at, sum(lengths)
+                taken[p] += repeats
+                at += p
+            base += repeats
+        # Sequences of a range are numbered by the mean place of their tokens.
+        mean = np.bincount(sequence, np.arange(len(own)) * length) / np.bincount(sequence, length)
+        rank = np.empty(len(mean), np.int64)
+        rank[np.argsort(mean, kind="stable")] = np.arange(len(mean))
+        ids = (int(own["_range"].iloc[0]) << 32) + rank[sequence]
+        return pd.DataFrame({"piece_id": own["piece_id"], "sequence_id": ids, "offset": offset, "filled": filled})
+
+    return rows.groupBy("_range").applyInPandas(place, "piece_id long, sequence_id long, offset long, filled long")
+
+
 def _placed(slots: list[tuple[int, int, int, int, int]]):
     """Look a rank up among the slots of its length; the table of slots is bounded by the window."""
     order = sorted(slots)
