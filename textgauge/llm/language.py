@@ -135,7 +135,7 @@ class Scorer:
         bits = self.bits(words)
         best = int(np.argmin(bits))
         share = 1 / float(np.exp2(np.maximum((bits[best] - bits) / len(words), -1000)).sum())
-        return self.trees.langs[best], share, float(bits[best]) / (sum(map(len, words)) + len(words))
+        return self.trees.langs[best], share, float(bits[best]) / (len(" ".join(words).encode()) + 1)
 
 
 def train(
