@@ -13,8 +13,9 @@ from textgauge.llm.tables import ship
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-SHARES = {"src0": 10, **{f"src{i}": 6 for i in range(1, 10)}}
-REST = 36
+# Every source of the tables has its own stream; the rest is for null and unknown names.
+SHARES = {"src0": 10, **{f"src{i}": 6 for i in range(1, 10)}, **{f"src{i}": 3 for i in range(10, 20)}}
+REST = 6
 
 
 def query(name: str, sql: str | None = None):
