@@ -9,7 +9,7 @@ from textgauge.llm import queries
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.QUERIES) < set(entry.queries())
 
 
