@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textgauge.catalog.registry import table
-from textgauge.llm import embeddings, filters, fim, hilbert, language, mixing, packing, secrets, simhash, toxicity, wavelet, weighted
+from textgauge.llm import embeddings, filters, fim, hilbert, language, mixing, packing, scoring, secrets, simhash, toxicity, wavelet, weighted
 from textgauge.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,6 +119,11 @@ def _(spark, sf):
     return filters.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query("op12_interpolated_scores")
+def _(spark, sf):
+    return scoring.score_documents(table(spark, sf, "documents"))
+
+
 @query("op13_fill_in_middle", fim.DIGEST_SQL)
 def _(spark, sf):
     return fim.fim_digest(table(spark, sf, "documents"))
