@@ -31,8 +31,8 @@ from textgauge.llm.tables import narrow, stored, text_bytes
 
 FOLDS, HELD_OUT = 5, 1
 DELETED = 20
-BATCH_BYTES = 8 << 20
-RANGE_BYTES = 12 << 20
+BATCH_BYTES = 4 << 20
+RANGE_BYTES = 8 << 20
 BUCKETS = 65
 ROUNDS, GAIN = 40, 1e-5
 MAIN, BACK, TEST = 0, 1, 2
@@ -77,16 +77,19 @@ class _Batch:
         self.bytes += len(text) + 64
 
 
-def _zipped(values: np.ndarray) -> bytes:
+def _zipped(codes: np.ndarray) -> bytes:
+    """Word codes, the first met being the smallest, with their bytes of one weight side by side."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _unzipped(data: bytes, kind: str) -> np.ndarray:
+def _unzipped(data: bytes) -> np.ndarray:
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return planes.T.copy().view("<u4").ravel()
 
 
 def _batches(batch_bytes: int, deleted: int):
@@ -99,7 +102,7 @@ def _batches(batch_bytes: int, deleted: int):
 
         def row(kind: int, full: _Batch) -> pa.RecordBatch:
             sizes = [len(t) for t in full.tokens]
-            values = [base + made, kind, full.keys, sizes, _zipped(np.concatenate(full.tokens).astype("<u4")), _zipped(np.array(full.codes.hashes, "<u8"))]
+            values = [base + made, kind, full.keys, sizes, _zipped(np.concatenate(full.tokens)), np.array(full.codes.hashes, "<u8").tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
         for part in parts:
@@ -128,7 +131,7 @@ class _Grams:
     """The tokens of a batch: their words and pairs, and the sorted distinct hashes of both."""
 
     def __init__(self, sizes: list[int], codes: bytes, words: bytes):
-        self.codes, hashes = _unzipped(codes, "<u4").astype(np.int64), _unzipped(words, "<u8")
+        self.codes, hashes = _unzipped(codes), np.frombuffer(words, "<u8")
         self.starts = np.cumsum([0, *sizes])[:-1]
         # The start mark stands behind the words.
         self.hashes = np.append(hashes, START)
@@ -171,7 +174,8 @@ def _ask(ranges: int):
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
-            for row in part.to_pylist():
+            for at in range(part.num_rows):
+                row = part.slice(at, 1).to_pylist()[0]
                 grams = _Grams(row["sizes"], row["codes"], row["words"])
                 words, counts = grams.hashes[grams.order], grams.word_counts()
                 pairs, pair_counts = np.unique(grams.pairs, return_counts=True)
@@ -318,7 +322,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", batch_bytes: i
     batches = token_batches(docs, key, text, batch_bytes, deleted)
     size = narrow(docs, {"_text": text}).agg(F.sum(text_bytes("_text"))).first()[0] or 0
     ranges = max(16, -(-int(size) // range_bytes))
-    asked = batches.repartition(max(ranges, docs.sparkSession.sparkContext.defaultParallelism), "batch").mapInArrow(_ask(ranges), ASKED)
+    asked = batches.mapInArrow(_ask(ranges), ASKED)
     answers = stored(asked.groupBy("range").applyInArrow(_answer, ANSWERED), "lm-counts")
     names = ["tokens", "kinds", "main_tokens", "main_kinds"]
     total = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
