@@ -149,12 +149,17 @@ class _Grams:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Unsigned values with their bytes of one weight side by side, which Spark's shuffle then compresses."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Unsigned values with their bytes of one weight side by side, as many as the largest needs; the first byte says how many."""
+    values = values.astype("<u8")
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8).T[:width].tobytes()
 
 
 def _values(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+    width, planes = data[0], np.frombuffer(data, np.uint8, offset=1)
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = planes.reshape(width, -1).T
+    return out.view("<u8").ravel()
 
 
 def _steps(values: np.ndarray) -> bytes:
@@ -166,9 +171,13 @@ def _sorted(data: bytes) -> np.ndarray:
     return np.cumsum(_values(data), dtype=np.uint64)
 
 
+def _range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each hash: equal shares of all hashes, in order."""
+    return (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+
+
 def _ask(ranges: int):
     """What each batch wants to know, cut by ranges of hashes."""
-    limits = np.array([-(-(i << 64) // ranges) for i in range(1, ranges)], np.uint64)
     names = [c.split()[0] for c in ASKED.split(", ")]
     kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
 
@@ -179,12 +188,12 @@ def _ask(ranges: int):
                 grams = _Grams(row["sizes"], row["codes"], row["words"])
                 words, counts = grams.hashes[grams.order], grams.word_counts()
                 pairs, pair_counts = np.unique(grams.pairs, return_counts=True)
-                cuts = [np.concatenate([[0], np.searchsorted(h, limits), [len(h)]]) for h in (words, pairs)]
+                of_words, of_pairs = _range_of(words, ranges), _range_of(pairs, ranges)
+                met = np.union1d(of_words, of_pairs)
+                low = [np.searchsorted(own, met) for own in (of_words, of_pairs)]
+                high = [np.searchsorted(own, met, "right") for own in (of_words, of_pairs)]
                 out = [[] for _ in names]
-                for i in range(ranges):
-                    (a, b), (c, d) = ((cut[i], cut[i + 1]) for cut in cuts)
-                    if a == b and c == d:
-                        continue
+                for i, a, b, c, d in zip(met.tolist(), low[0], high[0], low[1], high[1], strict=True):
                     none = row["role"] == TEST
                     values = [i, row["batch"], row["role"], _steps(words[a:b]), b"" if none else _planes(counts[a:b]), _steps(pairs[c:d]), b"" if none else _planes(pair_counts[c:d])]
                     for column, value in zip(out, values, strict=True):
