@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from test_simhash import plain_fingerprint, reach
+from test_near_copies import exact_groups
 
 import corpus_pipeline as P
 from textgauge.llm import language, mixing, secrets
@@ -36,9 +36,8 @@ def test_language_keeps_what_it_recognises(inputs):
 
 def test_one_of_each_group_stays(inputs):
     docs, kept = by_id(inputs[1]), by_id(inputs[2])
-    keys = sorted(docs)
-    groups = reach(keys, [plain_fingerprint(docs[k].text) for k in keys])
-    assert set(kept) == set(groups) and all(kept[k] == docs[k] for k in kept)
+    groups = exact_groups({k: r.text for k, r in docs.items()})
+    assert set(kept) == set(groups.values()) and all(kept[k] == docs[k] for k in kept)
 
 
 def test_secrets_are_masked(inputs):

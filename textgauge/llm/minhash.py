@@ -1,14 +1,17 @@
-"""Near copies by the Jaccard similarity of word shingles: candidates from min-hash bands, each checked exactly.
-
-Texts with a similarity of 0.8 differ in about 10 of 64 SimHash bits and often in 14, where a trie join hardly ends
-early.  Two texts agree in a min-hash with a probability equal to their similarity, so one of 20 bands of five agrees
-for 99.96 % of the pairs at 0.8.  The 64-bit SimHashes of the same shingles, linked by the trie join, are candidates
-as well.  A candidate becomes a link only if the exact similarity of its whole shingle sets reaches the limit.
-
-Equal shingle sets form one class.  The first round checks every class with the smallest one of each of its buckets;
-the second checks what is not connected yet: all pairs of buckets of at most 128 classes, and in larger ones eight more
-centres, which differ from band to band.  The number of candidates therefore grows with the rows, also for large
-groups; two texts of one large bucket that are alike only to each other, and to none of some 160 centres, can be missed.
+"""Near copies by the Jaccard similarity of word shingles, each link checked exactly.
+
+Candidates come from the trie join of the 64-bit SimHashes of the shingle sets and from min-hash bands.  Texts with a
+similarity of 0.8 differ in about 10 of 64 SimHash bits and often in 14, where a trie join hardly ends early; they agree
+in a min-hash with a probability equal to their similarity, so one of 20 bands of five agrees for 99.96 % of the pairs
+at 0.8.  A candidate becomes a link only if the exact similarity of its whole shingle sets reaches the limit.
+
+Equal shingle sets form one class.  Classes that share a band are a bucket, and every class is compared with the
+smallest one of each of its buckets, its centre: so the pairs grow with the rows, whatever the size of a bucket.  Where
+links leave a bucket in several parts, its classes are dealt anew by what the centre does not explain: the smallest
+hashes of the shingles that they don't share with it.  Texts on one template differ from the centre in their own words,
+and two that are alike have most of these in common, so they meet in smaller buckets.  There every class is compared with
+four centres, drawn by hash, that aren't connected with it yet.  This goes on until a round finds no link; no bucket is
+cut, at any size.
 """
 
 from __future__ import annotations
@@ -21,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.llm.components import connected
-from textgauge.llm.simhash import LOWER, links
+from textgauge.llm.simhash import LOWER, links, text_hash
 from textgauge.llm.tables import narrow, stored
 
 WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 20, 5
-SMALL, CENTRES = 128, 8
+KEPT, CENTRES = 16, 4
 _rng = np.random.default_rng(42)
 FACTORS = _rng.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 TERMS = _rng.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64)
@@ -79,11 +82,11 @@ def _long(values: list[int]) -> pa.Array:
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = narrow(docs, {"doc_id": key, "_text": text})
-    return rows.select(F.col("doc_id").cast("long"), F.col("_text").cast("binary"))
+    return rows.select(F.col("doc_id").cast("long"), F.col("_text").cast("binary"), text_hash("_text").alias("text_hash"))
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """``doc_id, set`` (digest of the shingle set), ``n`` (its size), ``fp, bands`` of every row."""
+    """``doc_id, text_hash, set`` (digest of the shingle set), ``n`` (its size), ``fp, bands`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,9 +96,9 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
                 each = [bands(own) for own, _ in found]
                 flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, each)]), pa.int32()), _long([d for b in each for d in b]))
                 columns = [_long([_class(own) for own, _ in found]), pa.array([len(own) for own, _ in found], pa.int64()), _long([fp for _, fp in found]), flat]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "set", "n", "fp", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *columns], names=["doc_id", "text_hash", "set", "n", "fp", "bands"])
 
-    return _rows(docs, key, text).mapInArrow(run, "doc_id long, set long, n long, fp long, bands array<long>")
+    return _rows(docs, key, text).mapInArrow(run, "doc_id long, text_hash long, set long, n long, fp long, bands array<long>")
 
 
 def sets_of(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -116,68 +119,93 @@ def _pair(x: str, y: str):
     return F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def _alike(n: str, m: str, percent: int):
-    """Sizes that allow the similarity."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
-
-
-def _checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, key: str, text: str, words: int) -> DataFrame:
-    """The pairs whose exact similarity reaches the limit; only the texts they name are cut into shingles again."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    # One row of every class stands for it: the one with its smallest key.
-    keys = stored(named.join(classes, "set").select(F.col("first").alias("_k"), "set"), "near-keys")
+def _sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """The shingle sets of the wanted classes, stored; of each the row with its smallest key is cut into shingles again."""
+    keys = stored(wanted.join(classes, "set").select(F.col("first").alias("_k"), "set"), "near-keys")
     chosen = docs.join(keys.select("_k").distinct(), F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_k")), "left_semi")
     sets = sets_of(chosen, key, text, words).join(keys.select("set"), "set", "left_semi")
-    sets = stored(sets.dropDuplicates(["set"]), "near-sets")
+    return stored(sets.dropDuplicates(["set"]), "near-sets")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` with both sets as ``_x, _y``: a set travels with the pairs of its class ``a``, a centre's once."""
     both = pairs.join(sets.select(F.col("set").alias("a"), F.col("hashes").alias("_x")), "a")
-    both = both.join(sets.select(F.col("set").alias("b"), F.col("hashes").alias("_y")), "b")
+    return both.join(sets.select(F.col("set").alias("b"), F.col("hashes").alias("_y")), "b")
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose exact similarity reaches the limit."""
     shared = F.size(F.array_intersect("_x", "_y"))
     good = shared * 100 >= (F.size("_x") + F.size("_y") - shared) * percent
-    return both.filter(good).select("a", "b")
+    return _with_sets(pairs, sets).filter(good).select("a", "b")
+
+
+def _open(members: DataFrame, parts: DataFrame | None, centres: int) -> DataFrame:
+    """``key, set, part, centre, centre_part`` of all rows of buckets whose classes lie in several parts.
+
+    One centre is the smallest class of the bucket, several are those with the smallest hashes.
+    """
+    if parts is None:
+        at = members.select("key", "set", F.col("set").alias("part"))
+    else:
+        at = members.join(parts.withColumnRenamed("node", "set"), "set", "left")
+        at = at.select("key", "set", F.coalesce("component", "set").alias("part"))
+    at = stored(at, "near-members")
+    own = F.struct("set", "part")
+    chosen = [F.min(own)] if centres == 1 else [F.min_by(own, F.xxhash64("set", "key", F.lit(i))) for i in range(centres)]
+    sides = [F.min("part").alias("_low"), F.max("part").alias("_high")]
+    buckets = at.groupBy("key").agg(*[c.alias(f"_c{i}") for i, c in enumerate(chosen)], *sides).filter("_low < _high")
+    buckets = buckets.select("key", F.explode(F.array(*[f"_c{i}" for i in range(centres)])).alias("_c"))
+    rows = at.join(buckets, "key").filter(F.col("set") != F.col("_c.set"))
+    return rows.select("key", "set", "part", F.col("_c.set").alias("centre"), F.col("_c.part").alias("centre_part"))
+
+
+def _dealt_anew(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``key, set``: classes of open buckets by the smallest hashes of what they don't share with their centre."""
+    pairs = rows.select(F.col("set").alias("a"), F.col("centre").alias("b")).distinct()
+    own = _with_sets(pairs, sets).select(F.col("a").alias("set"), F.slice(F.array_except("_x", "_y"), 1, KEPT).alias("_own"))
+    return own.select(F.explode("_own").alias("key"), "set").distinct()
 
 
 def near_copies(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, component_id`` of every row.
+    """``doc_id, text_hash, component_id`` of every row.
 
     Rows whose sets of shingles of ``words`` words have a Jaccard similarity of ``percent`` or more are linked;
     ``component_id`` is the smallest key that links reach, the own one included.  A text of fewer words is one shingle;
-    texts without words, null included, are equal.  Null keys name a component only if it has no other.
+    texts without words, null included, are equal.  Null keys name a component only if it has no other.  ``text_hash``
+    tells rows of one key apart.
     """
     rows = stored(signatures(docs, key, text, words), "near-signatures")
     classes = rows.groupBy("set", "n", "fp", "bands").agg(F.min("doc_id").alias("first"))
     classes = stored(classes, "near-classes")
-    spread = classes.select("set", "n", F.explode("bands").alias("band"))
-    buckets = spread.groupBy("band").agg(F.count(F.lit(1)).alias("_size"), F.min(F.struct("set", "n")).alias("_c")).filter("_size > 1")
-    members = stored(spread.join(buckets, "band"), "near-buckets")
+    spread = classes.select(F.explode("bands").alias("key"), "set")
+    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
+    members = stored(spread.join(shared, "key"), "near-buckets")
 
-    star = members.filter(_alike("n", "_c.n", percent) & (F.col("set") != F.col("_c.set"))).select(_pair("set", "_c.set").alias("p"))
     own = classes.groupBy("fp").agg(F.min("set").alias("_of"))
     tries = links(own.select("fp")).join(own.select(F.col("fp").alias("a"), F.col("_of").alias("_x")), "a")
     tries = tries.join(own.select(F.col("fp").alias("b"), F.col("_of").alias("_y")), "b").select(_pair("_x", "_y").alias("p"))
     same = classes.join(own, "fp").filter("set != _of").select(_pair("set", "_of").alias("p"))
-    first = stored(star.union(tries).union(same).distinct().select("p.*"), "near-candidates")
-    found = stored(_checked(first, docs, classes, percent, key, text, words), "near-links")
+    tries = stored(tries.union(same).select("p.*"), "near-tries")
 
+    named = members.select("set").union(tries.select("a")).union(tries.select("b")).distinct()
+    sets = _sets(named, docs, classes, key, text, words)
+    first = _open(members, None, 1).select(_pair("set", "centre").alias("p")).select("p.*")
+    seen = stored(first.union(tries).distinct(), "near-candidates")
+    found = stored(_checked(seen, sets, percent), "near-links")
     parts = stored(connected(found), "near-parts")
-    at = members.join(parts.withColumnRenamed("node", "set"), "set", "left")
-    at = stored(at.select("band", "_size", "set", "n", F.coalesce("component", "set").alias("part")), "near-members")
-    mixed = at.groupBy("band").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).filter("_low < _high").select("band")
-    at = stored(at.join(mixed, "band"), "near-open")
-    few = at.filter(F.col("_size") <= SMALL)
-    x, y = (few.select("band", *[F.col(c).alias(f"{c}_{i}") for c in ("set", "n", "part")]) for i in "xy")
-    pairs = x.join(y, "band").filter("set_x < set_y")
-    many = at.filter(F.col("_size") > SMALL)
-    centres = [F.min_by(F.struct("set", "n", "part"), F.xxhash64("set", "band", F.lit(i))).alias(f"_{i}") for i in range(CENTRES)]
-    centres = many.groupBy("band").agg(*centres).select("band", F.explode(F.array(*[f"_{i}" for i in range(CENTRES)])).alias("_c"))
-    more = many.join(centres, "band").select("band", *[F.col(c).alias(f"{c}_x") for c in ("set", "n", "part")], *[F.col(f"_c.{c}").alias(f"{c}_y") for c in ("set", "n", "part")])
-    open_pairs = pairs.unionByName(more).filter(F.col("part_x") != F.col("part_y")).filter(_alike("n_x", "n_y", percent))
-    second = open_pairs.select(_pair("set_x", "set_y").alias("p")).distinct().select("p.*")
-    second = stored(second.join(first, ["a", "b"], "left_anti"), "near-candidates")
-    found = found.union(_checked(second, docs, classes, percent, key, text, words))
-
-    parts = connected(stored(found, "near-links"))
+    while True:
+        members = stored(_dealt_anew(_open(members, parts, 1), sets), "near-buckets")
+        pairs = _open(members, parts, CENTRES).filter("part != centre_part").select(_pair("set", "centre").alias("p"))
+        pairs = stored(pairs.distinct().select("p.*").join(seen, ["a", "b"], "left_anti"), "near-candidates")
+        new = stored(_checked(pairs, sets, percent), "near-links")
+        if new.isEmpty():
+            break
+        found, seen = found.union(new), seen.union(pairs)
+        parts = stored(connected(found), "near-parts")
+
     named = classes.join(parts.withColumnRenamed("node", "set"), "set", "left")
     named = stored(named.select("set", "first", F.coalesce("component", "set").alias("component")), "near-named")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     of = named.join(least, "component").select("set", "component_id")
-    return rows.join(of, "set").select("doc_id", "component_id")
+    return rows.join(of, "set").select("doc_id", "text_hash", "component_id")

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.llm.components import connected, local_components
@@ -258,13 +258,32 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORD
     return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def first_of_groups(docs: DataFrame, groups: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The documents without all but the first of each group; rows without a key stay, repeated rows stay once."""
-    groups = stored(groups.select(F.col("doc_id").alias("_k"), "component_id"), "groups")
-    others = groups.filter(F.col("_k") != F.col("component_id")).select("_k").distinct()
-    again = groups.filter(F.col("_k") == F.col("component_id")).groupBy("_k").count().filter("count > 1").select("_k")
-    out = docs.join(others, docs[key] == others["_k"], "left_anti")
+def text_hash(text: str) -> Column:
+    """Tells rows of one key apart by their texts."""
+    return F.xxhash64(F.col(f"`{text}`").cast("binary"))
+
+
+def first_of_groups(docs: DataFrame, groups: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without all but the first of each group ``doc_id, component_id`` and, if known, ``text_hash``.
+
+    The first row is the one with the smallest key, of equal keys the one with the smallest ``text_hash``: of rows with
+    equal key and different texts each then follows the group of its own text.  Without it rows are told apart by their
+    keys alone.  Repeated rows stay once; rows without a key stay.
+    """
+    told = "text_hash" in groups.columns
+    row = F.struct(F.col("doc_id").alias("_k"), (F.col("text_hash") if told else F.lit(0).cast("long")).alias("_h"))
+    groups = groups.filter("doc_id is not null").groupBy("component_id", row.alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+    groups = stored(groups, "groups")
+    firsts = groups.groupBy("component_id").agg(F.min("_r").alias("_r"))
+    others = groups.join(firsts, ["component_id", "_r"], "left_anti").select("_r.*")
+    again = groups.filter("_n > 1").join(firsts, ["component_id", "_r"], "left_semi").select("_r.*")
+
+    def same(rows: DataFrame) -> Column:
+        keys = F.col(f"`{key}`").cast("long") == rows["_k"]
+        return keys & (text_hash(text) == rows["_h"]) if told else keys
+
+    out = docs.join(others, same(others), "left_anti")
     if again.isEmpty():
         return out
-    once = out.join(again, out[key] == again["_k"], "left_semi").dropDuplicates([key])
-    return out.join(again, out[key] == again["_k"], "left_anti").unionByName(once)
+    once = out.join(again, same(again), "left_semi").dropDuplicates([key, text] if told else [key])
+    return out.join(again, same(again), "left_anti").unionByName(once)
