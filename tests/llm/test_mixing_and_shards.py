@@ -106,3 +106,30 @@ def test_files_can_be_skipped(spark, documents, tmp_path):
     assert sorted(map(str, back.drop("shard").collect())) == sorted(map(str, documents.collect()))
     boxes = back.groupBy("shard").agg(F.collect_set("lang").alias("langs"), F.min("n_chars").alias("low"), F.max("n_chars").alias("high")).collect()
     assert len(boxes) == 8 and sum(len(b.langs) for b in boxes) < 8 * 4 * 0.8
+
+
+def test_filters_on_any_dimension_skip_shards(spark):
+    """Shards that a filter reads by least and largest value, for every value of every dimension."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plan = hilbert.shard_by_curve(docs, shards=24).select("doc_id", "shard", "size")
+    rows = docs.select("doc_id", "lang", "source").join(plan, "doc_id").collect()
+    for column, most in (("lang", 12), ("source", 14), ("size", 14)):
+        boxes, holds = {}, {}
+        for r in rows:
+            low, high = boxes.get(r.shard, (r[column], r[column]))
+            boxes[r.shard] = min(low, r[column]), max(high, r[column])
+            holds.setdefault(r[column], set()).add(r.shard)
+        read = {v: sum(low <= v <= high for low, high in boxes.values()) for v in holds}
+        if column == "size":
+            read = {v: n for v, n in read.items() if v % 7 == 0}
+        print(column, sorted(read.values()), [len(holds[v]) for v in sorted(holds)][:24])
+        assert sum(read.values()) / len(read) <= most
+
+
+def test_category_cells_keep_the_order(spark):
+    rows = spark.createDataFrame([("b",), (None,), ("a",), ("z",), ("a",)], "c string")
+    cells = {r.c: r.cell for r in hilbert.with_category_cells(rows, "c", "cell", 3).collect()}
+    assert cells == {None: 0, "a": 2, "b": 4, "z": 6}
+    many = spark.range(5000).selectExpr("lpad(id, 5, '0') as c")
+    got = [r.cell for r in hilbert.with_category_cells(many, "c", "cell", 5).orderBy("c").collect()]
+    assert got == sorted(got) and set(got) == set(range(32))

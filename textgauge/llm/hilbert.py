@@ -1,33 +1,52 @@
 """Sharding along a Hilbert curve: rows near each other in several metadata columns share a file.
 
 Every dimension is quantised to ``bits`` bits, the cells are numbered along a Hilbert curve, rows are sorted
-by that number and the sorted table is cut into runs.  A run covers a compact box of cells, so a filter on any
-of the dimensions skips most files by their minimum and maximum.  Built-in expressions only.
+by that number and the sorted table is cut into runs.  A run covers a compact box of cells, and cells follow the order
+of a dimension's values, so a filter on any of the dimensions skips files by their minimum and maximum.  Built-in
+expressions only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textgauge.llm.tables import narrow, ranked, text_bytes
+from textgauge.llm.tables import narrow, ranked, stored, text_bytes
 
 BITS = 5
+FINE = 64
 
 
-def category_axis(value: Column, bits: int = BITS) -> Column:
-    """Cell of a category: its checksum's lowest bits; null has the cell of the empty string."""
-    return F.pmod(F.crc32(F.coalesce(value.cast("string"), F.lit("")).cast("binary")), F.lit(1 << bits)).cast("long")
+def with_category_cells(rows: DataFrame, column: str, name: str, bits: int = BITS) -> DataFrame:
+    """Add the cell of a category: its rank among the sorted values, spread evenly over the cells.
 
+    Values keep their order along the axis, so the least and largest value of a run of cells say what it can hold.  A null
+    has the cell of the empty string.  The ranks are a stored table with a row per value, joined as its size asks for.
+    """
+    value = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    values, total = ranked(rows.select(value.alias("_value")).distinct(), [F.col("_value")], "curve-categories")
+    cell = F.expr(f"rank * {1 << bits} div {max(total, 1)}").cast("long")
+    cells = stored(values.select("_value", cell.alias(name)), "curve-cells")
+    return rows.join(cells, value == cells["_value"]).drop("_value")
+
+
+def with_size_cells(rows: DataFrame, column: str, name: str, bits: int = BITS) -> DataFrame:
+    """Add the cell of a count: cells hold about equal numbers of rows and keep the order of the values.
 
-def size_axis(value: Column, bits: int = BITS) -> Column:
-    """Cell of a count on a logarithmic scale, two cells per doubling; the last cell takes all larger ones."""
-    value = F.coalesce(value, F.lit(0)).cast("long")
-    length = F.length(F.bin(value))
-    second = F.when(F.substring(F.bin(value), 2, 1) == "1", 1).otherwise(0)
-    return F.least(2 * length + second - 2, F.lit((1 << bits) - 1)).cast("long")
+    Counts are first told apart on a logarithmic scale of ``FINE`` steps a doubling, at most ``64 * FINE`` of them; a null
+    counts as 0.
+    """
+    value = F.greatest(F.coalesce(F.col(column), F.lit(0)).cast("long"), F.lit(0).cast("long"))
+    fine = F.floor(F.log2(value + F.lit(1.0)) * FINE).cast("int")
+    counts = rows.select(fine.alias("_fine")).groupBy("_fine").agg(F.count(F.lit(1)).alias("_n"))
+    # A row per step of the scale, hence few in one window.
+    before = F.sum("_n").over(Window.orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("_n").over(Window.orderBy("_fine").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    counts = counts.select("_fine", F.coalesce(before, F.lit(0)).alias("_before"), total.alias("_total"))
+    cells = stored(counts.select("_fine", F.expr(f"_before * {1 << bits} div _total").cast("long").alias(name)), "curve-cells")
+    return rows.join(cells, fine == cells["_fine"]).drop("_fine")
 
 
 def with_curve_index(df: DataFrame, axes: list[str], name: str = "curve_index", bits: int = BITS) -> DataFrame:
@@ -85,13 +104,15 @@ def shard_by_curve(
     given = {f"_d{i}": c for i, c in enumerate(dimensions) if c != "_size"}
     rows = narrow(docs, {"doc_id": key, "_text": text, **given})
     size = text_bytes("_text")
-    axes = []
-    for i, (column, kind) in enumerate(dimensions.items()):
-        value = size if column == "_size" else F.col(f"_d{i}")
-        axes.append((category_axis if kind == "category" else size_axis)(value, bits).alias(f"_a{i}"))
     crc = F.crc32(F.coalesce("_text", F.lit("")).cast("binary")).alias("text_crc32")
-    cells = rows.select("doc_id", (size + 8).alias("size"), crc, *axes)
-    names = [f"_a{i}" for i in range(len(axes))]
+    cells = rows.select("doc_id", (size + 8).alias("size"), crc, *given)
+    names = [f"_a{i}" for i in range(len(dimensions))]
+    for i, (column, kind) in enumerate(dimensions.items()):
+        if kind == "category":
+            cells = with_category_cells(cells, f"_d{i}", f"_a{i}", bits)
+        else:
+            cells = with_size_cells(cells, "size" if column == "_size" else f"_d{i}", f"_a{i}", bits)
+    cells = cells.select("doc_id", "size", "text_crc32", *names)
     placed = with_curve_index(cells, names, bits=bits).drop(*names)
     out, total = ranked(placed, [F.col(c) for c in ("curve_index", "text_crc32", "doc_id")], "curve-order")
     # Row r lies in shard s if floor(s * total / shards) <= r, so the first row of a shard is known exactly.
