@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.llm.components import connected
-from textgauge.llm.tables import narrow, stored
+from textgauge.llm.tables import draw, narrow, sampled, stored
 
 PARTS = 8
 CODES = 64
@@ -92,16 +92,13 @@ class Quantiser:
 
 
 def train(classes: DataFrame, lists: int | None = None, sample_rows: int = 16_384, seed: int = 42) -> dict[int, Quantiser]:
-    """A quantiser for every vector length, fitted on at most about ``sample_rows`` directions drawn by hash.
+    """A quantiser for every vector length, fitted on at most about ``sample_rows`` directions drawn by hash, of all
+    lengths together at most about four times as many, and at least one of each.
 
     There are four lists per root of the sampled rows unless given.
     """
-    sizes = classes.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()  # a row per vector length
-    rate = F.lit(0.0)
-    for r in sizes:
-        rate = F.when(F.col("n") == r["n"], min(1.0, sample_rows / r["rows"])).otherwise(rate)
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 20)) / float(1 << 20)
-    table = classes.filter(drawn < rate).select("id", "n", "unit").orderBy("n", "id").toArrow()
+    drawn = sampled(classes, "n", F.lit(1), sample_rows, 4 * sample_rows, draw(seed, "id"), "pq-rates")
+    table = drawn.select("id", "n", "unit").orderBy("n", "id").toArrow()
     found: dict[int, list] = {}
     for n, row in zip(table.column("n").to_pylist(), table.column("unit").to_pylist(), strict=True):
         found.setdefault(n, []).append(np.frombuffer(row, "<f8"))

@@ -19,17 +19,30 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.tables import narrow, text_bytes
+from textgauge.llm.tables import draw, narrow, sampled, text_bytes
 
 ORDER = 4
 WORD = re.compile(r"[^\W\d_]+")
+#: Letters with the marks that other scripts write on them; slower, so only for texts that have such marks.
+MARKED_WORD = regex.compile(r"[\p{L}\p{Nl}\p{No}][\p{L}\p{Nl}\p{No}\p{M}]*")
+MARK = regex.compile(r"\p{M}")
+LATIN = re.compile(r"[\x00-\u02FF\u2000-\u206F]*")
 CACHED = 200_000
+MOST_COSTS = 1 << 26
 UNKNOWN = "und"
 
 
+def words_of(text: str) -> list[str]:
+    """Words of a lower-cased text: runs of letters, and of the combining marks on them."""
+    if LATIN.fullmatch(text) or not MARK.search(text):
+        return WORD.findall(text)
+    return MARKED_WORD.findall(text)
+
+
 def remainder(key: str, parts: int) -> Column:
     """crc32 of the key as text, modulo the parts; a null key is the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
@@ -47,23 +60,32 @@ def gram_counts(words: Counter, order: int = ORDER) -> Counter:
 
 
 class ContextTrees:
-    """Frozen statistics of all languages: one table of costs by gram, one of escape costs by context."""
+    """Frozen statistics of all languages: one table of costs by gram, one of escape costs by context.
+
+    The tables have a column per language.  With so many languages that they would exceed ``MOST_COSTS`` numbers, the
+    longest contexts are left out, one length after the other; no language is.
+    """
 
     def __init__(self, counts: dict[str, dict[bytes, int]], order: int = ORDER):
-        self.langs, self.order = sorted(counts), order
+        self.langs = sorted(counts)
+        lengths = Counter(len(g) for g in {g for c in counts.values() for g in c})
+        while order > 0 and 2 * len(self.langs) * sum(n for k, n in lengths.items() if k <= order + 1) > MOST_COSTS:
+            order -= 1
+        self.order = order
         self.rows: dict[bytes, int] = {}
         self.escapes: dict[bytes, int] = {}
-        grams = sorted({g for c in counts.values() for g in c}, key=len)
+        grams = sorted({g for c in counts.values() for g in c if len(g) <= order + 1}, key=len)
         self.rows = {g: i for i, g in enumerate(grams)}
-        table = np.zeros((len(grams), len(self.langs)))
+        table = np.zeros((len(grams), len(self.langs)), np.float32 if order < ORDER else np.float64)
         for j, lang in enumerate(self.langs):
             for gram, n in counts[lang].items():
-                table[self.rows[gram], j] = n
+                if len(gram) <= order + 1:
+                    table[self.rows[gram], j] = n
         contexts = {}
         for gram in grams:
             contexts.setdefault(gram[:-1], []).append(self.rows[gram])
         self.escapes = {c: i for i, c in enumerate(contexts)}
-        escape = np.zeros((len(contexts), len(self.langs)))
+        escape = np.zeros((len(contexts), len(self.langs)), table.dtype)
         total = np.zeros_like(escape)
         for context, i in self.escapes.items():
             own = table[contexts[context]]
@@ -78,7 +100,7 @@ class ContextTrees:
             seen = np.log2(np.maximum(total[e], 1)) - np.log2(np.maximum(table[i], 1))
             cost[i] = np.where(table[i] > 0, seen, escape[e] + shorter)
         # Last row: coded evenly.
-        self.cost = np.concatenate([cost, np.full((1, len(self.langs)), 8.0), escape]).astype(np.float32)
+        self.cost = np.concatenate([cost, np.full((1, len(self.langs)), 8.0, table.dtype), escape]).astype(np.float32)
         self.even, self.first_escape = len(grams), len(grams) + 1
 
     def steps(self, word: str) -> list[int]:
@@ -103,7 +125,10 @@ class Scorer:
 
     def __init__(self, trees: ContextTrees):
         self.trees, self.place = trees, {}
-        self.costs = np.zeros((CACHED, max(1, len(trees.langs))), np.float32)
+        # Fewer words are kept, and a text is taken in smaller parts, where there are very many languages.
+        many = max(1, len(trees.langs))
+        self.costs = np.zeros((max(256, min(CACHED, MOST_COSTS // many)), many), np.float32)
+        self.part, self.at_once = min(1 << 16, len(self.costs)), max(16, MOST_COSTS // (16 * many))
 
     def _learn(self, words: list[str]) -> np.ndarray:
         steps = [self.trees.steps(w) for w in words]
@@ -113,15 +138,17 @@ class Scorer:
     def bits(self, words: list[str]) -> np.ndarray:
         """Bits of all words together in every language."""
         total = np.zeros(self.costs.shape[1])
-        for at in range(0, len(words), 1 << 16):
-            part = words[at : at + (1 << 16)]
+        for at in range(0, len(words), self.part):
+            part = words[at : at + self.part]
             new = [w for w in set(part) if w not in self.place]
-            if len(self.place) + len(new) > CACHED:
+            if len(self.place) + len(new) > len(self.costs):
                 self.place.clear()
                 new = list(set(part))
             if new:
                 first = len(self.place)
-                self.costs[first : first + len(new)] = self._learn(new)
+                for i in range(0, len(new), self.at_once):
+                    some = new[i : i + self.at_once]
+                    self.costs[first + i : first + i + len(some)] = self._learn(some)
                 self.place.update(zip(new, range(first, first + len(new))))
             total += self.costs[np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))].sum(0, dtype=np.float64)
         return total
@@ -129,7 +156,7 @@ class Scorer:
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, its share after one average word, bits per coded byte."""
         lowered = (text or "").lower()
-        words = WORD.findall(lowered)
+        words = words_of(lowered)
         if not self.trees.langs or not any(any(map(str.isalpha, w)) for w in words):
             return UNKNOWN, 0.0, 0.0
         bits = self.bits(words)
@@ -139,34 +166,39 @@ class Scorer:
 
 
 def train(
-    docs: DataFrame, max_bytes: int = 2 << 20, seed: int = 42, order: int = ORDER, text: str = "text", lang: str = "lang", key: str = "doc_id"
+    docs: DataFrame,
+    max_bytes: int = 2 << 20,
+    seed: int = 42,
+    order: int = ORDER,
+    text: str = "text",
+    lang: str = "lang",
+    key: str = "doc_id",
+    total_bytes: int = 64 << 20,
 ) -> ContextTrees:
     """Context trees from labelled rows (text and language not null).
 
-    Of every language about ``max_bytes`` of whole texts are read at most: rows are taken by a hash of the key at
-    the rate that this bound allows.  Without such rows the trees know no language and predict ``und``.
+    Of every language about ``max_bytes`` of whole texts are read at most, of all together about ``total_bytes``: rows
+    are taken by a hash of the key at the rate that these bounds allow, and at least one of each language.  Without such
+    rows the trees know no language and predict ``und``.  With very many languages contexts are shorter, see
+    ``ContextTrees``.
     """
     rows = narrow(docs, {"_key": key, "_text": text, "_lang": lang}).filter("_text is not null and _lang is not null")
-    sizes = rows.groupBy("_lang").agg(F.sum(text_bytes("_text") + 1).alias("n")).collect()  # a row per language
-    rate = F.lit(0.0)
-    for r in sizes:
-        rate = F.when(F.col("_lang") == r["_lang"], min(1.0, max_bytes / r["n"])).otherwise(rate)
-    drawn = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("_key").cast("string"), F.lit(""))), F.lit(1 << 20)) / float(1 << 20)
+    sample = sampled(rows, "_lang", text_bytes("_text") + 1, max_bytes, total_bytes, draw(seed, "_key"), "language-rates")
     schema = pa.schema([("lang", pa.string()), ("gram", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words.setdefault(name, Counter()).update(WORD.findall(value.lower()))
+                words.setdefault(name, Counter()).update(words_of(value.lower()))
         for name, own in words.items():
             grams = gram_counts(own, order)
             columns = [pa.array([name] * len(grams), pa.string()), pa.array(grams.keys(), pa.binary()), pa.array(grams.values(), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    found = rows.filter(drawn < rate).select("_lang", "_text").mapInArrow(run, "lang string, gram binary, n long")
+    found = sample.select("_lang", "_text").mapInArrow(run, "lang string, gram binary, n long")
     counts: dict[str, dict[bytes, int]] = {}
-    table = found.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # bounded by max_bytes a language
+    table = found.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # bounded by the sample
     for name, gram, n in zip(*(table.column(c).to_pylist() for c in ("lang", "gram", "n")), strict=True):
         counts.setdefault(name, {})[gram] = n
     return ContextTrees(counts, order)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.llm.language import Shared
-from textgauge.llm.tables import narrow, text_bytes
+from textgauge.llm.tables import below, draw, narrow, text_bytes
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -142,7 +142,6 @@ def train(docs: DataFrame, max_bytes: int = 16 << 20, most_runs: int = 50_000, s
     """
     rows = narrow(docs, {"_key": key, "_text": text}).filter("_text is not null")
     total = rows.agg(F.sum(text_bytes("_text") + 1)).first()[0] or 1
-    drawn = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("_key").cast("string"), F.lit(""))), F.lit(1 << 20)) / float(1 << 20)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
@@ -164,14 +163,14 @@ def train(docs: DataFrame, max_bytes: int = 16 << 20, most_runs: int = 50_000, s
         columns = [pa.array([k[i] for k in found], pa.string()) for i in range(2)] + [pa.array(found.values(), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["label", "value", "n"])
 
-    sample = rows.filter(drawn < min(1.0, max_bytes / total)).select("_text")
+    sample = rows.filter(below(draw(seed, "_key"), F.lit(min(1.0, max_bytes / total)))).select("_text")
     counts = sample.mapInArrow(run, "label string, value string, n long").groupBy("label", "value").agg(F.sum("n").alias("n"))
     order = F.xxhash64(F.lit(seed), "value")
     parts = [counts.filter(F.col("label") == k).orderBy(order, "value").limit(most_runs) for k in ("random", "ordinary")]
     table = parts[0].unionByName(parts[1]).toArrow()  # at most 2 * most_runs rows of the bounded sample
     both = {"random": generated(), "ordinary": Counter()}
     for label, value, n in zip(*(table.column(c).to_pylist() for c in ("label", "value", "n")), strict=True):
-        both[label][value[:256]] += n
+        both[label][value] += n
     words = sorted(w for w in both["ordinary"] if len(w) > 1)
     return Detector(both["random"], both["ordinary"] + composed(words))
 

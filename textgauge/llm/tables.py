@@ -67,3 +67,29 @@ def ranked(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, in
     out = marked.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return out.withColumn("rank", F.col("_before") + inside).drop("_part", "_n", "_before", "_at"), total
+
+
+def draw(seed: int, key: str) -> Column:
+    """64 evenly spread bits of a row's key, as a signed long; a null key is like an empty one."""
+    return F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))
+
+
+def below(drawn: Column, rate: Column) -> Column:
+    """Whether a draw lies in the given share of all draws."""
+    return (rate >= 1) | (drawn < (rate * float(1 << 64) - float(1 << 63)).cast("long"))
+
+
+def sampled(rows: DataFrame, group: str, size: Column, each: float, total: float, drawn: Column, name: str) -> DataFrame:
+    """Rows drawn so that every group holds about ``each`` at most and all together ``total``, measured by ``size``.
+
+    The rate of a group follows from its size; the first row by draw is taken whatever the rate, so no group is without
+    rows.  Rates are a stored table with a row per group, so a join with them is planned by its size.
+    """
+    marked = rows.withColumn("_draw", drawn)
+    groups = marked.groupBy(F.col(group).alias("_group")).agg(F.sum(size).alias("_size"), F.min("_draw").alias("_least"))
+    groups = stored(groups, name)
+    many = groups.count()
+    share = min(each, total / max(1, many))
+    rates = groups.select("_group", F.least(F.lit(1.0), F.lit(share) / F.greatest("_size", F.lit(1))).alias("_rate"), "_least")
+    out = marked.join(rates, F.col(group).eqNullSafe(F.col("_group")))
+    return out.filter(below(F.col("_draw"), F.col("_rate")) | (F.col("_draw") == F.col("_least"))).drop("_group", "_rate", "_least", "_draw")
