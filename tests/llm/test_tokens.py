@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from textgauge.llm import packing, wavelet
+from textgauge.llm import packing, tokens, wavelet
 from textgauge.llm.tokens import encode, tokenizer_path
 
 
@@ -26,6 +26,27 @@ def test_chunks_equal_whole_texts(plain):
         assert np.frombuffer(ids, "<u4").tolist() == plain(text, 7), text
 
 
+def texts_of_plain_letters(n, seed):
+    rng = random.Random(seed)
+    parts = list("abcdestrvXYZ ''&.,!09\n\t\r\x0b\x1c\x7fàÀéÉßÿ") + ["'s", "'LL", "d'll", "it's", "'re", "'Ve", "''s", "word", "longer-than-sixteen-bytes", "Überlängenwörter", "x" * 17]
+    return ["".join(rng.choices(parts, k=rng.randrange(80))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("together, most", [(1 << 21, 400_000), (200, 400_000), (3000, 300), (60, 1)])
+def test_plain_texts_together(plain, monkeypatch, together, most):
+    """Pieces by arrays, in groups of any size, with tables that overflow, and texts cut into parts."""
+    monkeypatch.setattr(tokens, "TOGETHER", together)
+    monkeypatch.setattr(tokens, "_loaded", {})
+    texts = [*texts_of_plain_letters(800, together), "", " ", "'", "'s", "s'", "a\0b \0", "x" * 5000, "y z" * 900, "é" * 400 + "'s"]
+    list(encode([], tokenizer_path()))
+    tokens._loaded[tokenizer_path()].table.most = most
+    for _ in range(2):
+        for text, ids in zip(texts, encode([t.encode() for t in texts], tokenizer_path(), 7), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain(text, 7), text
+    table = tokens._loaded[tokenizer_path()].table
+    assert len(table.start) == len(table.size) and table.size.sum() == len(table.flat)
+
+
 def test_wavelet_queries():
     rng = np.random.default_rng(3)
     ids = np.concatenate([rng.integers(0, 49408, 5000), np.full(300_000, 17), rng.integers(0, 9, 70_000)])

@@ -115,17 +115,22 @@ def _pieces(path: str, window: int, end: int):
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed(rows: list[list]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                keys, rows = part.column(0).to_pylist(), [[], [], [], [], []]
-                for key, ids in zip(keys, encode(part.column(1).to_pylist(), path, end), strict=True):
-                    total = len(ids) // 4
-                    for start in range(0, total, window):
-                        own = ids[4 * start : 4 * (start + window)]
-                        for column, value in zip(rows, (key, start, len(own) // 4, total, own), strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
+            keys, rows, held = batch.column(0).to_pylist(), [[], [], [], [], []], 0
+            for key, ids in zip(keys, encode((t.as_py() for t in batch.column(1)), path, end), strict=True):
+                total = len(ids) // 4
+                for start in range(0, total, window):
+                    own = ids[4 * start : 4 * (start + window)]
+                    for column, value in zip(rows, (key, start, len(own) // 4, total, own), strict=True):
+                        column.append(value)
+                    held += len(own)
+                    if held > 2 << 20:
+                        yield flushed(rows)
+                        rows, held = [[], [], [], [], []], 0
+            yield flushed(rows)
 
     return cut
 

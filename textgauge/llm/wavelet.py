@@ -43,18 +43,22 @@ def encode_file(ids: np.ndarray, starts: np.ndarray, keys: list[int | None], lev
     out.append(np.append(starts, n).astype("<u8").tobytes())
     out.append(bytes(k is None for k in keys))
     rest = ids.astype(np.uint16 if bits <= 16 else np.uint32)
+    spare = np.empty_like(rest)
     for bit in range(bits - 1, -1, -1):
-        plane = (rest >> bit & 1).astype(bool)
-        zeros = n - int(np.count_nonzero(plane))
-        packed = np.packbits(plane, bitorder="little").tobytes()
+        plane = (rest & rest.dtype.type(1 << bit)) != 0
+        packed = np.packbits(plane, bitorder="little")
         cut = [packed[i : i + BLOCK // 8] for i in range(0, len(packed), BLOCK // 8)]
-        ones = [int(np.count_nonzero(plane[i : i + BLOCK])) for i in range(0, n, BLOCK)]
+        ones = np.array([np.bitwise_count(c).sum(dtype=np.int64) for c in cut], np.int64)
+        zeros = n - int(ones.sum())
         blocks = [pack.compress(c) for c in cut]
         out.append(struct.pack("<Q", zeros))
         out.append((np.cumsum([0, *ones])[:-1]).astype("<u8").tobytes())
         out.append(np.cumsum([len(b) for b in blocks]).astype("<u8").tobytes())
         out += blocks
-        rest = np.concatenate([rest[~plane], rest[plane]])
+        # Zeros, then ones, each in order.
+        np.compress(plane, rest, out=spare[zeros:])
+        np.compress(np.logical_not(plane, out=plane), rest, out=spare[:zeros])
+        rest, spare = spare, rest
     return b"".join(out)
 
 
@@ -188,15 +192,14 @@ def _write(folder: str, path: str, end: int, tokens_per_file: int):
         folder_fs, folder_path = _store(folder)
         folder_fs.create_dir(folder_path, recursive=True)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                few = batch.slice(at, 64)
-                for key, own in zip(few.column(0).to_pylist(), encode(few.column(1).to_pylist(), path, end), strict=True):
-                    if keys and held + len(own) > 4 * tokens_per_file:
-                        saved.append(save(part, number, keys, ids))
-                        number, held, keys, ids = number + 1, 0, [], []
-                    keys.append(key)
-                    ids.append(own)
-                    held += len(own)
+            texts = (t.as_py() for t in batch.column(1))
+            for key, own in zip(batch.column(0).to_pylist(), encode(texts, path, end), strict=True):
+                if keys and held + len(own) > 4 * tokens_per_file:
+                    saved.append(save(part, number, keys, ids))
+                    number, held, keys, ids = number + 1, 0, [], []
+                keys.append(key)
+                ids.append(own)
+                held += len(own)
         if keys:
             saved.append(save(part, number, keys, ids))
         if saved:
