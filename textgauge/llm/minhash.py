@@ -5,13 +5,14 @@ similarity of 0.8 differ in about 10 of 64 SimHash bits and often in 14, where a
 in a min-hash with a probability equal to their similarity, so one of 20 bands of five agrees for 99.96 % of the pairs
 at 0.8.  A candidate becomes a link only if the exact similarity of its whole shingle sets reaches the limit.
 
-Equal shingle sets form one class.  Classes that share a band are a bucket, and every class is compared with the
-smallest one of each of its buckets, its centre: so the pairs grow with the rows, whatever the size of a bucket.  Where
-links leave a bucket in several parts, its classes are dealt anew by what the centre does not explain: the smallest
-hashes of the shingles that they don't share with it.  Texts on one template differ from the centre in their own words,
-and two that are alike have most of these in common, so they meet in smaller buckets.  There every class is compared with
-four centres, drawn by hash, that aren't connected with it yet.  This goes on until a round finds no link; no bucket is
-cut, at any size.
+Equal shingle sets form one class.  Classes that share a band are a bucket, and every class is compared with one of each
+of its buckets, the centre: so the pairs grow with the rows, whatever the size of a bucket.  The centre is the class
+whose buckets hold most classes; among the variants of a text that is one with few changes, and what is alike to any of
+them is likely alike to it.  Where links leave a bucket in several parts, its classes are compared with three more, drawn
+by hash, that they aren't connected with, and then dealt anew by what their centres do not explain: the smallest hashes
+of the shingles that no centre so far had.  Texts on one template differ from the centre in their own words, and two that
+are alike have most of these in common, so they meet in smaller buckets, round by round, until a round finds no link.  No
+bucket is cut, at any size.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from textgauge.llm.tables import narrow, stored
 WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 20, 5
-KEPT, CENTRES = 16, 4
+KEPT, DRAWN = 16, 3
 _rng = np.random.default_rng(42)
 FACTORS = _rng.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 TERMS = _rng.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64)
@@ -140,31 +141,35 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _with_sets(pairs, sets).filter(good).select("a", "b")
 
 
-def _open(members: DataFrame, parts: DataFrame | None, centres: int) -> DataFrame:
-    """``key, set, part, centre, centre_part`` of all rows of buckets whose classes lie in several parts.
+def _open(members: DataFrame, parts: DataFrame | None, drawn: int = 0) -> DataFrame:
+    """``key, set, n, score, part`` and ``centre`` (a struct of the last four) of all rows of buckets whose classes lie in several parts.
 
-    One centre is the smallest class of the bucket, several are those with the smallest hashes.
+    One centre of a bucket is its class with the largest score; ``drawn`` further ones have the smallest hashes.
     """
     if parts is None:
-        at = members.select("key", "set", F.col("set").alias("part"))
+        at = members.withColumn("part", F.col("set"))
     else:
-        at = members.join(parts.withColumnRenamed("node", "set"), "set", "left")
-        at = at.select("key", "set", F.coalesce("component", "set").alias("part"))
-    at = stored(at, "near-members")
-    own = F.struct("set", "part")
-    chosen = [F.min(own)] if centres == 1 else [F.min_by(own, F.xxhash64("set", "key", F.lit(i))) for i in range(centres)]
+        at = members.join(parts.withColumnRenamed("node", "set"), "set", "left").withColumn("part", F.coalesce("component", "set"))
+    at = stored(at.select("key", "set", "n", "score", "part"), "near-members")
+    own = F.struct("score", "set", "n", "part")
+    chosen = [F.max(own)] + [F.min_by(own, F.xxhash64("set", "key", F.lit(i))) for i in range(drawn)]
     sides = [F.min("part").alias("_low"), F.max("part").alias("_high")]
     buckets = at.groupBy("key").agg(*[c.alias(f"_c{i}") for i, c in enumerate(chosen)], *sides).filter("_low < _high")
-    buckets = buckets.select("key", F.explode(F.array(*[f"_c{i}" for i in range(centres)])).alias("_c"))
-    rows = at.join(buckets, "key").filter(F.col("set") != F.col("_c.set"))
-    return rows.select("key", "set", "part", F.col("_c.set").alias("centre"), F.col("_c.part").alias("centre_part"))
+    buckets = buckets.select("key", F.explode(F.array(*[f"_c{i}" for i in range(drawn + 1)])).alias("centre"))
+    return at.join(buckets, "key").filter(F.col("set") != F.col("centre.set"))
 
 
-def _dealt_anew(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``key, set``: classes of open buckets by the smallest hashes of what they don't share with their centre."""
-    pairs = rows.select(F.col("set").alias("a"), F.col("centre").alias("b")).distinct()
-    own = _with_sets(pairs, sets).select(F.col("a").alias("set"), F.slice(F.array_except("_x", "_y"), 1, KEPT).alias("_own"))
-    return own.select(F.explode("_own").alias("key"), "set").distinct()
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: classes and centres that aren't connected yet and whose sizes allow the similarity."""
+    fit = F.least("n", "centre.n") * 100 >= F.greatest("n", "centre.n") * percent
+    return rows.filter(fit & (F.col("part") != F.col("centre.part"))).select(_pair("set", "centre.set").alias("p")).select("p.*").distinct()
+
+
+def _unexplained(rows: DataFrame, left: DataFrame, sets: DataFrame) -> DataFrame:
+    """``set, n, score, left``: the shingles of the classes of open buckets that no centre had, the best centre of each taken off."""
+    best = rows.groupBy("set", "n", "score").agg(F.max("centre").alias("_c")).select("set", "n", "score", F.col("_c.set").alias("_centre"))
+    own = best.join(left.select("set", "left"), "set").join(sets.select(F.col("set").alias("_centre"), F.col("hashes").alias("_c")), "_centre")
+    return own.select("set", "n", "score", F.array_except("left", "_c").alias("left")).filter(F.size("left") > 0)
 
 
 def near_copies(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,9 +183,12 @@ def near_copies(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key
     rows = stored(signatures(docs, key, text, words), "near-signatures")
     classes = rows.groupBy("set", "n", "fp", "bands").agg(F.min("doc_id").alias("first"))
     classes = stored(classes, "near-classes")
-    spread = classes.select(F.explode("bands").alias("key"), "set")
-    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
+    spread = classes.select(F.explode("bands").alias("key"), "set", "n")
+    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     members = stored(spread.join(shared, "key"), "near-buckets")
+    # How many classes the buckets of a class hold together.
+    scores = members.groupBy("set").agg(F.sum("_n").alias("score"))
+    members = stored(members.drop("_n").join(scores, "set"), "near-buckets")
 
     own = classes.groupBy("fp").agg(F.min("set").alias("_of"))
     tries = links(own.select("fp")).join(own.select(F.col("fp").alias("a"), F.col("_of").alias("_x")), "a")
@@ -190,19 +198,23 @@ def near_copies(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key
 
     named = members.select("set").union(tries.select("a")).union(tries.select("b")).distinct()
     sets = _sets(named, docs, classes, key, text, words)
-    first = _open(members, None, 1).select(_pair("set", "centre").alias("p")).select("p.*")
-    seen = stored(first.union(tries).distinct(), "near-candidates")
+    seen = stored(_pairs(_open(members, None), percent).union(tries).distinct(), "near-candidates")
     found = stored(_checked(seen, sets, percent), "near-links")
     parts = stored(connected(found), "near-parts")
+    left, rounds = sets.withColumnRenamed("hashes", "left"), 0
     while True:
-        members = stored(_dealt_anew(_open(members, parts, 1), sets), "near-buckets")
-        pairs = _open(members, parts, CENTRES).filter("part != centre_part").select(_pair("set", "centre").alias("p"))
-        pairs = stored(pairs.distinct().select("p.*").join(seen, ["a", "b"], "left_anti"), "near-candidates")
+        pairs = _pairs(_open(members, parts, DRAWN), percent)
+        pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "near-candidates")
         new = stored(_checked(pairs, sets, percent), "near-links")
-        if new.isEmpty():
+        none = new.isEmpty()
+        if none and rounds:
             break
-        found, seen = found.union(new), seen.union(pairs)
-        parts = stored(connected(found), "near-parts")
+        if not none:
+            found, seen = found.union(new), seen.union(pairs)
+            parts = stored(connected(found), "near-parts")
+        left = stored(_unexplained(_open(members, parts), left, sets), "near-left")
+        members = left.select(F.explode(F.slice("left", 1, KEPT)).alias("key"), "set", "n", "score")
+        rounds += 1
 
     named = classes.join(parts.withColumnRenamed("node", "set"), "set", "left")
     named = stored(named.select("set", "first", F.coalesce("component", "set").alias("component")), "near-named")
