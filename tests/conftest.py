@@ -6,9 +6,9 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from textgauge.session import local_session  # noqa: E402
+from tables import SF  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
+from textgauge.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

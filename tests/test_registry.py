@@ -3,8 +3,8 @@
 import re
 
 import pytest
-from conftest import SF
 from oracle import compare, duck
+from tables import SF
 
 import __spark_entry__ as entry
 
