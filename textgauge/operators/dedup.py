@@ -10,9 +10,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textgauge.functions.digests import key_struct, names, row_digest, text_digest
 
+FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def first_keys(df: DataFrame, text: str, key) -> DataFrame:
     """Smallest key of every distinct text (null counts as one text)."""
@@ -59,9 +62,15 @@ def _groups(df: DataFrame, identity: Sequence[Column]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows that repeat an earlier row in all (or the given) columns."""
+    """Rows that repeat an earlier row in all (or the given) columns.
+
+    Columns of fixed width are grouped as they are, Spark taking the two zeros for one and all NaNs for one; a digest
+    stands for all others together.
+    """
     columns = list(columns or df.columns)
-    return _surplus(_groups(df, [row_digest(df, columns)]))
+    wide = [c for c in columns if not isinstance(df.schema[c].dataType, FIXED_WIDTH)]
+    identity = [F.col(c) for c in columns if c not in wide]
+    return _surplus(_groups(df, [*identity, row_digest(df, wide)] if wide else identity))
 
 
 def duplicate_texts(df: DataFrame, text: str) -> DataFrame:

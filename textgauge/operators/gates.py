@@ -1,7 +1,7 @@
 """Release gates over a scored test set.
 
-``gate_facts`` reduces the scored table to one row: per-class counts from one pass, calibration from a
-second, AUC from a third.  Each gate then turns that row into result rows
+``gate_facts`` reduces the scored table to one row: classes, calibration and input rules from one pass, AUC from
+another.  Each gate then turns that row into result rows
 ``(gate, item, actual, bound, passed, warning)``; ``passed`` is null for what is only reported.
 """
 
@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.config import AI, HUMAN, GateConfig
+from textgauge.functions.labels import class_name
 from textgauge.functions.stats import bin_index, chi2_tail
 from textgauge.operators.bootstrap import bootstrap_accuracy_ci
-from textgauge.operators.metrics import per_class
 from textgauge.operators.ranking import ranking_metrics
 
 DEFAULT = GateConfig()
@@ -24,48 +24,62 @@ DEFAULT = GateConfig()
 def gate_facts(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
     """Everything the gates need, in one row.
 
-    Only rows with allowed labels and predictions count, so the per-class entries of the row are as many as there
-    are allowed labels.  ``inputs_valid`` says whether there were others: then nothing passes.
+    One grouping by calibration bin holds the counts of every allowed class, the calibration sums and the violations of
+    the input rules; only the AUC is a pass of its own.  Only rows with allowed labels and predictions count.
+    ``inputs_valid`` says whether there were others: then nothing passes.
     """
-    allowed, valid = list(config.allowed_labels), gate_inputs(scored, config).select("passed").scalar()
-    scored = scored.where(F.col("label").isin(*allowed) & F.col("prediction").isin(*allowed))
-    total = F.sum("support")
-
-    def weighted(name: str) -> Column:
-        return F.sum(F.col(name) * F.col("support")) / total
-
-    row = per_class(scored).agg(
-        total.alias("n"),
-        (F.sum("hits").cast("double") / total).alias("accuracy"),
-        weighted("precision").alias("precision"),
-        weighted("recall").alias("recall"),
-        weighted("f1").alias("f1"),
-        F.array_sort(F.collect_list(F.struct("label", "name", "f1", "support", "predicted", "hits"))).alias("classes"),
-        F.max(F.when(F.col("label") == AI, F.col("predicted") - F.col("hits"))).alias("_fp"),
-        F.max(F.when(F.col("label") == AI, F.col("support") - F.col("hits"))).alias("_fn"),
-        F.bool_and(F.col("label").isin(HUMAN, AI)).alias("_known"),
-        F.count(F.lit(1)).alias("_k"),
+    allowed = list(config.allowed_labels)
+    label, prediction, p = F.col("label"), F.col("prediction"), F.col("probability")
+    inside = label.isin(*allowed) & prediction.isin(*allowed)
+    good = F.coalesce(inside, F.lit(False))
+    error = F.pow(p - label, 2)
+    sums = [F.count_if(good).alias("n"), F.sum(F.when(good, error)).alias("sq")]
+    sums += [F.avg(F.when(good, label.cast("double"))).alias("observed"), F.avg(F.when(good, p)).alias("predicted")]
+    for i, c in enumerate(allowed):
+        sums += [F.count_if(good & (label == c)).alias(f"s{i}"), F.count_if(good & (prediction == c)).alias(f"p{i}")]
+        sums.append(F.count_if(good & (label == c) & (prediction == c)).alias(f"h{i}"))
+    sums += [c.alias(n) for n, c in _violations(config).items()]
+    bins = scored.groupBy(bin_index(p, config.bins, False).alias("bin")).agg(*sums)
+    gap = F.when(F.col("bin").isNotNull(), F.abs(F.col("predicted") - F.col("observed")) * F.col("n")).otherwise(0.0)
+    counts = [f"{kind}{i}" for i in range(len(allowed)) for kind in "sph"]
+    checks = [*_violations(config)]
+    row = bins.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ["n", *counts, *checks]],
+        F.sum("sq").alias("_sq"),
+        F.sum(F.when(F.col("n") > 0, gap)).alias("_gap"),
     )
-    error = F.pow(F.col("probability") - F.col("label"), 2)
-    bins = scored.groupBy(bin_index(F.col("probability"), config.bins, False).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(error).alias("sq"),
-        F.avg(F.col("label").cast("double")).alias("observed"),
-        F.avg("probability").alias("predicted"),
+    total = F.nullif(F.col("n"), F.lit(0)).cast("double")
+
+    def ratio(x: Column, y: Column) -> Column:
+        return F.when(y > 0, x.cast("double") / y).otherwise(F.lit(0.0))
+
+    each, weighted = [], {"precision": [], "recall": [], "f1": []}
+    for i, c in enumerate(allowed):
+        support, predicted, hits = (F.col(f"{kind}{i}") for kind in "sph")
+        f1 = ratio(hits * 2, support + predicted)
+        for name, value in (("precision", ratio(hits, predicted)), ("recall", ratio(hits, support)), ("f1", f1)):
+            weighted[name].append(value * support)
+        named = {"label": F.lit(c), "name": class_name(F.lit(c)), "f1": f1, "support": support, "predicted": predicted, "hits": hits}
+        each.append(F.struct(*[v.alias(n) for n, v in named.items()]))
+
+    def mean(name: str) -> Column:
+        return sum(weighted[name][1:], weighted[name][0]) / total
+
+    seen = F.filter(F.array(*each), lambda c: c["support"] + c["predicted"] > 0)
+    row = row.select(
+        F.nullif(F.col("n"), F.lit(0)).alias("n"),
+        (sum((F.col(f"h{i}") for i in range(1, len(allowed))), F.col("h0")) / total).alias("accuracy"),
+        *[mean(name).alias(name) for name in weighted],
+        F.array_sort(seen).alias("classes"),
+        F.struct((F.col("_sq") / total).alias("brier"), (F.col("_gap") / total).alias("ece")).alias("calibration"),
+        _valid().alias("inputs_valid"),
     )
-    gap = F.when(F.col("bin").isNotNull(), F.abs(F.col("predicted") - F.col("observed")) * F.col("n")).otherwise(0.0)
-    calibration = bins.agg(
-        F.struct((F.sum("sq") / F.sum("n")).alias("brier"), (F.sum(gap) / F.sum("n")).alias("ece")).alias("_c")
-    ).scalar()
-    auc = ranking_metrics(scored).select("roc_auc").scalar()
-    two = F.col("_known") & (F.col("_k") == 2)
-    return (
-        row.withColumn("calibration", calibration)
-        .withColumn("roc_auc", auc)
-        .withColumn("inputs_valid", valid)
-        .withColumn("false_positives", F.when(two, F.col("_fp")))
-        .withColumn("false_negatives", F.when(two, F.col("_fn")))
-        .drop("_fp", "_fn", "_known", "_k")
+    row = row.withColumn("roc_auc", ranking_metrics(scored.where(inside)).select("roc_auc").scalar())
+    # Of two classes, human and machine, the errors to either side.
+    both = (F.size("classes") == 2) & F.forall("classes", lambda c: c["label"].isin(HUMAN, AI))
+    machine = F.element_at("classes", 2)
+    return row.withColumn("false_positives", F.when(both, machine["predicted"] - machine["hits"])).withColumn(
+        "false_negatives", F.when(both, machine["support"] - machine["hits"])
     )
 
 
@@ -195,48 +209,55 @@ GATES = {
 
 def gate(scored: DataFrame, name: str, config: GateConfig = DEFAULT) -> DataFrame:
     """Result rows of one gate; a judged row passes only if the input is valid."""
-    return _judged(gate_facts(scored, config), GATES[name](config))
+    return _judged(gate_facts(scored, config), GATES[name](config)).drop("inputs_valid")
 
 
 def _judged(facts: DataFrame, rows: Column) -> DataFrame:
-    out = facts.select("inputs_valid", F.inline(rows))
+    out = facts.select(F.coalesce("inputs_valid", F.lit(False)).alias("inputs_valid"), F.inline(rows))
     # What is only reported stays null.
-    judged = F.when(F.col("passed").isNotNull(), F.col("passed") & F.coalesce("inputs_valid", F.lit(False)))
-    return out.withColumn("passed", judged).drop("inputs_valid")
+    return out.withColumn("passed", F.when(F.col("passed").isNotNull(), F.col("passed") & F.col("inputs_valid")))
+
+
+def _violations(config: GateConfig) -> dict[str, Column]:
+    """Counts of rows and of rows that break the input rules."""
+    p, allowed = F.col("probability"), list(config.allowed_labels)
+    return {
+        "n_rows": F.count(F.lit(1)),
+        "null_values": F.count_if(F.col("label").isNull() | F.col("prediction").isNull() | p.isNull()),
+        "bad_probabilities": F.count_if((p < 0) | (p > 1) | F.isnan(p)),
+        "bad_labels": F.count_if(~F.col("label").isin(*allowed)),
+        "bad_predictions": F.count_if(~F.col("prediction").isin(*allowed)),
+    }
+
+
+def _valid() -> Column:
+    broken = F.col("null_values") + F.col("bad_probabilities") + F.col("bad_labels") + F.col("bad_predictions")
+    return (F.col("n_rows") > 0) & (broken == 0)
 
 
 def gate_inputs(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
     """Violations of the input rules; nulls stand for arrays of unequal length."""
-    p, allowed = F.col("probability"), list(config.allowed_labels)
-    return scored.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("label").isNull() | F.col("prediction").isNull() | p.isNull()).alias("null_values"),
-        F.count_if((p < 0) | (p > 1) | F.isnan(p)).alias("bad_probabilities"),
-        F.count_if(~F.col("label").isin(*allowed)).alias("bad_labels"),
-        F.count_if(~F.col("prediction").isin(*allowed)).alias("bad_predictions"),
-    ).withColumn(
-        "passed",
-        (F.col("n_rows") > 0)
-        & (F.col("null_values") + F.col("bad_probabilities") + F.col("bad_labels") + F.col("bad_predictions") == 0),
-    )
+    return scored.agg(*[c.alias(n) for n, c in _violations(config).items()]).withColumn("passed", _valid())
 
 
-def gate_rows(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
-    """Result rows of all gates, from one row of facts."""
+def _all_rows(scored: DataFrame, config: GateConfig) -> DataFrame:
     every = reduce(lambda a, b: F.concat(a, b), (make(config) for make in GATES.values()))
     return _judged(gate_facts(scored, config), every)
 
 
+def gate_rows(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
+    """Result rows of all gates, from one row of facts."""
+    return _all_rows(scored, config).drop("inputs_valid")
+
+
 def model_gate_report(scored: DataFrame, config: GateConfig = DEFAULT) -> DataFrame:
     """One row: verdict, number of issues and warnings, recommendation.
 
     Input that breaks the rules of ``gate_inputs`` never passes.
     """
-    inputs = gate_inputs(scored, config).select("passed").scalar()
-    verdict = gate_rows(scored, config).agg(
-        F.count_if(~F.col("passed")).alias("n_issues"), F.count_if("warning").alias("n_warnings")
+    verdict = _all_rows(scored, config).agg(
+        F.count_if(~F.col("passed")).alias("n_issues"), F.count_if("warning").alias("n_warnings"), F.bool_and("inputs_valid").alias("inputs_valid")
     )
-    verdict = verdict.withColumn("inputs_valid", inputs)
     passed = F.col("inputs_valid") & (F.col("n_issues") == 0)
     advice = (
         F.when(~F.col("inputs_valid"), "Scored input is invalid.")
