@@ -51,12 +51,15 @@ def read_csv(
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, format: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, format: str | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """Reader by suffix: CSV or Parquet."""
+    """Reader by suffix: CSV or Parquet.
+
+    With a schema, ``read_csv_ranges`` reads large CSV files with line breaks in fields by many tasks.
+    """
     kind = format or path.rstrip("/").rsplit(".", 1)[-1].lower()
     if kind == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, multi_line)
     if kind in ("parquet", "pq"):
         return spark.read.parquet(path)
     raise ValueError(f"unsupported table format: {kind}")
