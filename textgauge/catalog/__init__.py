@@ -6,6 +6,6 @@ from textgauge.catalog.registry import ORACLES, QUERIES
 
 
 def load() -> tuple[dict, dict]:
-    from textgauge.catalog import checks, corpora, evaluation, serving, texts  # noqa: F401
+    from textgauge.catalog import checks, corpora, evaluation, language, serving, texts, training, tables  # noqa: F401
 
     return QUERIES, ORACLES

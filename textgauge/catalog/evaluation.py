@@ -352,3 +352,31 @@ def _(spark, sf):
     rows = rows.select("doc_id", label.alias("label"), F.col("label").alias("prediction"), F.col("label").cast("double").alias("probability"))
     judged = gates.gate_rows(rows).where("gate in ('thresholds', 'calibration') and item <> 'roc_auc'")
     return judged.select("gate", "item", "passed")
+
+
+_WITHIN = """with s as ({scored}), n as (select count(*) as n, count(*) filter (label = 1) as n1, count(*) filter (label = 0) as n0 from s),
+  cells as (select c, count(*) filter (label = c) as support, count(*) filter (prediction = c) as predicted,
+    count(*) filter (label = c and prediction = c) as hits from s, (select unnest([0, 1]) as c) group by c),
+  each as (select *, case when predicted > 0 then hits / predicted::double else 0 end as pr, case when support > 0 then hits / support::double else 0 end as re,
+    case when support + predicted > 0 then 2 * hits / (support + predicted)::double else 0 end as f from cells),
+  wins as (select sum((a.probability > b.probability)::int + (a.probability = b.probability)::int / 2.0e0) as w from s a join s b on a.label = 1 and b.label = 0)
+  select metric, round(value, 6) as value, true as inside, true as narrow from (
+    select 'accuracy' as metric, sum(hits) / sum(support)::double as value from each union all
+    select 'precision', sum(pr * support) / sum(support) from each union all select 'recall', sum(re * support) / sum(support) from each union all
+    select 'f1', sum(f * support) / sum(support) from each union all select 'roc_auc', w / (n1 * n0) from wins, n union all
+    select 'brier_score', avg((probability - label) * (probability - label)) from s)"""
+
+
+@query("bootstrap_metric_intervals", _WITHIN.format(scored=SCORED.strip()[1:-1]))
+def _(spark, sf):
+    """The drawn bounds differ from engine to engine; compared are the metrics, and that the bounds enclose them closely."""
+    rows = scored(spark, sf)
+    values = metrics.classification_metrics(rows).select("accuracy", F.col("precision_weighted").alias("precision"), F.col("recall_weighted").alias("recall"), "f1")
+    values = values.withColumn("roc_auc", ranking.roc_auc(rows).scalar()).withColumn("brier_score", metrics.brier_score(rows).scalar())
+    names = values.columns
+    values = values.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in names])))
+    bounds = bootstrap.bootstrap_intervals(rows, 500, 200)
+    inside = F.col("value").between(F.col("lower_bound"), F.col("upper_bound"))
+    # Six standard errors of a share, at their widest.
+    width = F.lit(6.0) * F.sqrt(F.lit(0.25) / rows.agg(F.least(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0))).scalar())
+    return values.join(bounds, "metric").select("metric", F.round("value", 6).alias("value"), inside.alias("inside"), (F.col("upper_bound") - F.col("lower_bound") < width).alias("narrow"))

@@ -70,3 +70,33 @@ def top_words(
     order = Window.partitionBy(label).orderBy(F.desc("n"), "word")
     ranked = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select(label, "rank", "word", "n")
+
+
+def phrases(df: DataFrame, text: str, label: str, least: float = 30.0) -> DataFrame:
+    """Per class: pairs of neighbouring words that come together more often than chance, and what is left of their words.
+
+    ``word, n, score``: a pair whose log-likelihood ratio exceeds ``least`` counts as one phrase, and its occurrences are
+    taken from the counts of its two words, whose own ``score`` is null; words without remaining occurrences are dropped.
+    Frequent words are combined map-side; pairs meet the counts of their words by joins on the word.
+    """
+    words = class_words(df, text, label).groupBy(label, "word").agg(F.count(F.lit(1)).alias("n"))
+    total = words.groupBy(label).agg(F.sum("n").alias("_total"))
+    pairs = class_words(df, text, label, 2).groupBy(label, "word").agg(F.count(F.lit(1)).alias("_pair"))
+    pairs = pairs.withColumn("_a", F.substring_index("word", " ", 1)).withColumn("_b", F.substring_index("word", " ", -1))
+    pairs = pairs.join(words.select(label, F.col("word").alias("_a"), F.col("n").alias("_na")), [label, "_a"])
+    pairs = pairs.join(words.select(label, F.col("word").alias("_b"), F.col("n").alias("_nb")), [label, "_b"]).join(total, label)
+
+    def likelihood(k, n, p):
+        tiny = F.lit(1e-10)
+        return k * F.log(F.greatest(p, tiny)) + (n - k) * F.log(F.greatest(1 - p, tiny))
+
+    k, a, b, n = (F.col(c) for c in ("_pair", "_na", "_nb", "_total"))
+    rest = F.when(n > a, (b - k) / (n - a)).otherwise(0.0)
+    score = 2 * (likelihood(k, a, k / a) + likelihood(b - k, n - a, rest) - likelihood(k, a, b / n) - likelihood(b - k, n - a, b / n))
+    # More often than chance, not less.
+    found = pairs.withColumn("score", score).where((F.col("score") > least) & (k / a > b / n))
+    taken = found.select(label, F.inline(F.array(*[F.struct(F.col(c).alias("word"), k.alias("_k")) for c in ("_a", "_b")])))
+    taken = taken.groupBy(label, "word").agg(F.sum("_k").alias("_taken"))
+    left = words.join(taken, [label, "word"], "left").withColumn("n", F.col("n") - F.coalesce("_taken", F.lit(0)))
+    left = left.where("n > 0").select(label, "word", "n", F.lit(None).cast("double").alias("score"))
+    return left.unionByName(found.select(label, "word", F.col("_pair").alias("n"), "score"))
