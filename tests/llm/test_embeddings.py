@@ -71,3 +71,49 @@ def test_chunks_of_a_hot_list_lose_no_link(spark, chunk):
     got = {tuple(r) for r in embeddings.links(classes, lists=2, probes=2, chunk=chunk).collect()}
     u = embeddings.unit(x)
     assert got == {(a, b) for a, b in zip(*np.nonzero(u @ u.T >= 0.95)) if a < b}
+
+
+@pytest.mark.parametrize("chunk", [7, 4096])
+@pytest.mark.parametrize("probes", [1, 2, 4])
+def test_counts_and_forest_are_those_of_the_links(spark, chunk, probes):
+    """Also where only one of two vectors asks the other's list."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(60, 8)), 1 + rng.normal(0, 0.25, (80, 8))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    classes = embeddings.directions(df).filter("unit is not null").withColumnRenamed("vec_id", "id").selectExpr("*", "1 + id % 3 as copies")
+    options = {"lists": 6, "probes": probes, "chunk": chunk}
+    pairs = [tuple(r) for r in embeddings.links(classes, **options).collect()]
+    want, root = {}, local_components(len(x), *np.array(pairs).T)
+    for a, b in pairs:
+        want[a] = want.get(a, 0) + 1 + b % 3
+        want[b] = want.get(b, 0) + 1 + a % 3
+    counts, forest = embeddings.degrees(classes, **options)
+    assert {r.id: r.others for r in counts.collect()} == want
+    assert local_components(len(x), *np.array([tuple(r) for r in forest.collect()]).T).tolist() == root.tolist()
+
+
+def test_a_dense_group_returns_rows_not_links(spark):
+    x = 1 + np.random.default_rng(4).normal(0, 0.05, (600, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    classes = embeddings.directions(df).filter("unit is not null").withColumnRenamed("vec_id", "id")
+    counts, forest = embeddings.degrees(classes, lists=20)
+    assert {r.others for r in counts.collect()} == {599}
+    # At most one row for each vector that a task holds, against 179,700 links.
+    assert forest.count() <= 600 * 20 + 600
+    assert {r.others for r in embeddings.degrees(classes)[0].collect()} == {599}
+
+
+def test_lists_follow_the_table(spark):
+    """A list grows with the root of the rows; recall stays."""
+    compared = {}
+    for n in (2000, 8000):
+        rng = np.random.default_rng(6)
+        x = rng.normal(size=(n // 2, 16))
+        x = np.concatenate([x, x + rng.normal(0, 0.05, x.shape)])
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        classes = embeddings.directions(df).filter("unit is not null").withColumnRenamed("vec_id", "id").cache()
+        (model,) = embeddings.train(classes).values()
+        compared[n] = 8 * n / len(model.centres) / n
+        linked = {tuple(r) for r in embeddings.links(classes).collect()}
+        assert sum((i, i + n // 2) in linked for i in range(n // 2)) >= 0.99 * (n // 2)
+    assert compared[8000] <= 0.51 * compared[2000]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.components import connected
+from textgauge.llm.components import connected, local_components
 from textgauge.llm.tables import draw, narrow, sampled, stored
 
 PARTS = 8
@@ -95,15 +95,17 @@ def train(classes: DataFrame, lists: int | None = None, sample_rows: int = 16_38
     """A quantiser for every vector length, fitted on at most about ``sample_rows`` directions drawn by hash, of all
     lengths together at most about four times as many, and at least one of each.
 
-    There are four lists per root of the sampled rows unless given.
+    There are four lists per root of all rows of a length unless given, at most one per sampled row: so a list grows
+    with the root of the table only.
     """
+    total = {r["n"]: r["rows"] for r in classes.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()}  # a row per length
     drawn = sampled(classes, "n", F.lit(1), sample_rows, 4 * sample_rows, draw(seed, "id"), "pq-rates")
     table = drawn.select("id", "n", "unit").orderBy("n", "id").toArrow()
     found: dict[int, list] = {}
     for n, row in zip(table.column("n").to_pylist(), table.column("unit").to_pylist(), strict=True):
         found.setdefault(n, []).append(np.frombuffer(row, "<f8"))
     return {
-        n: Quantiser(np.stack(rows).astype(np.float32), lists or max(1, int(4 * len(rows) ** 0.5)), seed) for n, rows in found.items()
+        n: Quantiser(np.stack(rows).astype(np.float32), lists or max(1, min(len(rows), int(4 * total[n] ** 0.5))), seed) for n, rows in found.items()
     }
 
 
@@ -128,47 +130,79 @@ def directions(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
     return rows.mapInArrow(run, "vec_id long, n int, unit binary")
 
 
-def _assigned(model, probes: int):
-    """Rows of the index and of the queries: list, code and role."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("list", pa.int32()), ("role", pa.int32()), ("code", pa.binary()), ("unit", pa.binary())])
+def lists_to_ask(rows: np.ndarray, centres: np.ndarray, probes: int, reach: float) -> list[np.ndarray]:
+    """For every row the lists of its ``probes`` nearest centres, the nearest first, and of all centres within reach.
+
+    In a group as dense as the reach its vectors lie in any of the lists whose centres it holds, so all of them are asked.
+    """
+    out = []
+    for at in range(0, len(rows), 1024):
+        part = rows[at : at + 1024]
+        first = nearest(part, centres, min(probes, len(centres)))
+        square = (part * part).sum(1)[:, None] - 2 * part @ centres.T + (centres * centres).sum(1)
+        for own, near in zip(first, square <= reach * reach, strict=True):
+            more = np.flatnonzero(near)
+            out.append(np.concatenate([own, more[~np.isin(more, own)]]) if len(more) else own)
+    return out
+
+
+INDEX = "id long, n int, list int, role int, copies long, home int, probes binary, code binary, unit binary"
+
+
+def _assigned(model, probes: int, reach: float):
+    """Rows of the index and of the queries: list, code and role; where a query is at home, and which lists a code's vector asks."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in INDEX.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = model.value
         for batch in batches:
-            ids, sizes, units = (batch.column(i).to_pylist() for i in range(3))
+            ids, sizes, units, copies = (batch.column(i).to_pylist() for i in range(4))
             for n in set(sizes):
                 q = index.get(n)
                 some = [i for i, s in enumerate(sizes) if s == n]
                 rows = np.stack([np.frombuffer(units[i], "<f8") for i in some]).astype(np.float32)
                 if q is None:  # a length that the sample doesn't hold: one list, no codes
-                    lists, codes = np.zeros((len(some), 1), int), np.zeros((len(some), 0), np.uint8)
+                    lists, codes = [np.zeros(1, int)] * len(some), np.zeros((len(some), 0), np.uint8)
                 else:
-                    lists = nearest(rows, q.centres, min(probes, len(q.centres)))
-                    codes = q.codes(rows, lists[:, 0])
-                out = [(ids[i], n, int(own[0]), 0, code.tobytes(), units[i]) for i, own, code in zip(some, lists, codes, strict=True)]
-                out += [(ids[i], n, int(at), 1, None, units[i]) for i, own in zip(some, lists, strict=True) for at in own]
+                    lists = lists_to_ask(rows, q.centres, probes, reach)
+                    codes = q.codes(rows, np.array([own[0] for own in lists]))
+                out = [(ids[i], n, int(own[0]), 0, copies[i], int(own[0]), own.astype("<i4").tobytes(), code.tobytes(), units[i]) for i, own, code in zip(some, lists, codes, strict=True)]
+                out += [(ids[i], n, int(at), 1, copies[i], int(own[0]), None, None, units[i]) for i, own in zip(some, lists, strict=True) for at in own]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema)], schema=schema)
 
     return run
 
 
-def _compared(model, cosine: float):
-    """Links between the queries and the codes of one chunk pair of a list; tasks hold one such pair at a time."""
+def _compared(model, cosine: float, all_pairs: bool):
+    """Links between the queries and the codes of one chunk pair of a list; tasks hold one such pair at a time.
+
+    Rows ``a, b, n``: every link with 0, or, for counts, the copies of linked vectors by id (``b`` null) and the links of a
+    spanning forest with 0.  A link is counted for the query, and for the code's vector too unless that, as a query, asks
+    the list where this one is at home and so counts it itself.  So what a task returns follows its rows, not its links.
+    """
     reach = (2 - 2 * cosine) ** 0.5
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
     def solve(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         if not left.num_rows or not right.num_rows:
-            return empty
+            return schema.empty_table()
         n, list_id, index = key[0].as_py(), key[1].as_py(), model.value
         q = index.get(n)
         ids, others = left.column("id").to_numpy(), right.column("id").to_numpy()
         mine = np.stack([np.frombuffer(u, "<f8") for u in left.column("unit").to_pylist()])
         theirs = np.stack([np.frombuffer(u, "<f8") for u in right.column("unit").to_pylist()])
-        found = []
+        home, probed = left.column("home").to_numpy(), [np.frombuffer(x, "<i4") for x in right.column("probes").to_pylist()]
+        asked = np.full((len(probed), max(map(len, probed))), -1, np.int32)
+        for row, own in zip(asked, probed, strict=True):
+            row[: len(own)] = own
+        weight, others_weight = left.column("copies").to_numpy(), right.column("copies").to_numpy()
         codes = None if q is None else np.stack([np.frombuffer(c, np.uint8) for c in right.column("code").to_pylist()])
         # By the triangle inequality an estimate exceeds the true distance by the code's own error at most.
         limit = None if q is None else reach + q.errors(theirs.astype(np.float32), list_id, codes) + 1e-4
+        found, seen, counts = [], np.zeros(len(ids), np.int64), np.zeros(len(others), np.int64)
+        nodes, place = np.unique(np.concatenate([ids, others]), return_inverse=True)
+        root = np.arange(len(nodes))
         for at in range(0, len(mine), 512):
             part = mine[at : at + 512]
             if q is None:
@@ -180,21 +214,37 @@ def _compared(model, cosine: float):
             for i in range(0, len(a), 1 << 16):
                 x, y = a[i : i + (1 << 16)], b[i : i + (1 << 16)]
                 near = (part[x] * theirs[y]).sum(1) >= cosine
-                found.append((ids[at + x[near]], others[y[near]]))
-        if not found:
-            return empty
-        return pa.table({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])})
+                x, y = at + x[near], y[near]
+                if all_pairs:
+                    found.append((ids[x], others[y]))
+                elif len(x):
+                    np.add.at(seen, x, others_weight[y])
+                    alone = ~(asked[y] == home[x][:, None]).any(1)
+                    np.add.at(counts, y[alone], weight[x[alone]])
+                    leaf = np.flatnonzero(root != np.arange(len(root)))
+                    root = local_components(len(nodes), np.concatenate([leaf, place[x]]), np.concatenate([root[leaf], place[len(ids) + y]]))
+        if all_pairs:
+            a, b = (np.concatenate([np.zeros(0, np.int64), *(f[i] for f in found)]) for i in range(2))
+            return pa.table([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64))], schema=schema)
+        leaf, x, y = np.flatnonzero(root != np.arange(len(root))), np.flatnonzero(seen), np.flatnonzero(counts)
+        return pa.table(
+            [
+                pa.array(np.concatenate([ids[x], others[y], nodes[leaf]])),
+                pa.array([None] * (len(x) + len(y)) + nodes[root[leaf]].tolist(), pa.int64()),
+                pa.array(np.concatenate([seen[x], counts[y], np.zeros(len(leaf), np.int64)])),
+            ],
+            schema=schema,
+        )
 
     return solve
 
 
-def links(classes: DataFrame, cosine: float = 0.95, probes: int = 8, lists: int | None = None, chunk: int = 4096) -> DataFrame:
-    """``a, b`` (a < b, each once): pairs of classes ``id, n, unit`` at a cosine of at least ``cosine``."""
+def _searched(classes: DataFrame, cosine: float, probes: int, lists: int | None, chunk: int, all_pairs: bool) -> DataFrame:
     from textgauge.llm.language import Shared
 
     model = Shared(classes, train(classes, lists))
-    kind = "id long, n int, list int, role int, code binary, unit binary"
-    rows = stored(classes.select("id", "n", "unit").mapInArrow(_assigned(model, probes), kind), "pq-index")
+    copies = F.col("copies") if "copies" in classes.columns else F.lit(1).cast("long")
+    rows = stored(classes.select("id", "n", "unit", copies.alias("copies")).mapInArrow(_assigned(model, probes, (2 - 2 * cosine) ** 0.5), INDEX), "pq-index")
     # Chunks of a list by its sizes in both roles: two numbers a list.
     sizes = rows.groupBy("n", "list").agg(F.count(F.when(F.col("role") == 0, 1)).alias("codes"), F.count(F.when(F.col("role") == 1, 1)).alias("asks"))
     sizes = sizes.select("n", "list", F.ceil(F.col("codes") / chunk).cast("int").alias("cs"), F.ceil(F.col("asks") / chunk).cast("int").alias("qs"))
@@ -202,15 +252,30 @@ def links(classes: DataFrame, cosine: float = 0.95, probes: int = 8, lists: int
     own = F.pmod(F.xxhash64("id"), F.when(F.col("role") == 0, F.col("cs")).otherwise(F.col("qs"))).cast("int")
     all_of_other = F.when(F.col("role") == 0, F.col("qs")).otherwise(F.col("cs"))
     cut = cut.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), all_of_other - 1)))
-    asks = cut.filter("role = 1").select("n", "list", F.col("_own").alias("q"), F.col("_other").alias("c"), "id", "unit")
-    codes = cut.filter("role = 0").select("n", "list", F.col("_other").alias("q"), F.col("_own").alias("c"), "id", "unit", "code")
+    asks = cut.filter("role = 1").select("n", "list", F.col("_own").alias("q"), F.col("_other").alias("c"), "id", "copies", "home", "unit")
+    codes = cut.filter("role = 0").select("n", "list", F.col("_other").alias("q"), F.col("_own").alias("c"), "id", "copies", "probes", "unit", "code")
     key = ["n", "list", "q", "c"]
     # Columns of their own for both sides: they come from the same rows.
     asks, codes = (df.select(*[F.col(c).alias(c) for c in df.columns]) for df in (asks, codes))
-    found = asks.groupBy(*key).cogroup(codes.groupBy(*key)).applyInArrow(_compared(model, cosine), "a long, b long")
+    return asks.groupBy(*key).cogroup(codes.groupBy(*key)).applyInArrow(_compared(model, cosine, all_pairs), "a long, b long, n long")
+
+
+def links(classes: DataFrame, cosine: float = 0.95, probes: int = 8, lists: int | None = None, chunk: int = 4096) -> DataFrame:
+    """``a, b`` (a < b, each once): pairs of classes ``id, n, unit`` at a cosine of at least ``cosine``."""
+    found = _searched(classes, cosine, probes, lists, chunk, True)
     return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pq-links")
 
 
+def degrees(classes: DataFrame, cosine: float = 0.95, probes: int = 8, lists: int | None = None, chunk: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """``id, others`` (copies of all vectors linked with a class) and ``a, b`` (a spanning forest of the links, per task).
+
+    The links themselves are neither returned nor stored, so a dense group costs rows, not the square of them.
+    """
+    found = stored(_searched(classes, cosine, probes, lists, chunk, False), "pq-found")
+    counts = found.filter("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
+    return counts, found.filter("b is not null").select("a", "b")
+
+
 def near_duplicates(
     vectors: DataFrame, cosine: float = 0.95, probes: int = 8, lists: int | None = None, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -225,11 +290,9 @@ def near_duplicates(
     # The class of a direction is named by a number of its own: keys may be null or repeated.
     groups = rows.filter("unit is not null").groupBy("n", "unit").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     classes = stored(groups.withColumn("id", F.monotonically_increasing_id()), "pq-classes")
-    pairs = links(classes, cosine, probes, lists)
-    both = pairs.union(pairs.select("b", "a"))
-    others = both.join(classes.select(F.col("id").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    parts = connected(pairs).withColumnRenamed("node", "id")
-    named = classes.join(parts, "id", "left").join(others.withColumnRenamed("a", "id"), "id", "left")
+    others, forest = degrees(classes, cosine, probes, lists)
+    parts = connected(forest).withColumnRenamed("node", "id")
+    named = classes.join(parts, "id", "left").join(others, "id", "left")
     named = stored(named.withColumn("component", F.coalesce("component", "id")), "pq-named")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     of = named.join(least, "component").select("n", "unit", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
