@@ -51,3 +51,22 @@ def test_stage_follows_the_mixture(spark, sf):
     at = {k: n for n, k in enumerate(sorted({r.sequence_id for r in got}))}
     last = {s: max(at[r.sequence_id] for r in got if (r.doc_id % 5 == 0) == (s == "src0")) for s in ("src0", "src1")}
     assert last["src0"] < 0.75 * last["src1"]
+
+
+def test_rows_without_a_key_spread_over_ranges(spark):
+    """A third of the rows has no key, hence one place in the order; no group of the planning holds them all."""
+    text = "the cat sat on a mat while old dogs ran over green hills and far away " * 3
+    rows = [(None if i % 3 == 0 else i, text + str(i), "ab"[i % 2]) for i in range(1800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    order = mixing.mix(docs, {"a": 1, "b": 1}, 1, block_bytes=2000)
+    got = packing.packed_digest(*packing.pack(docs, order=order, period=3, range_tokens=1000)).collect()
+    assert len(got) == 1800 and sum(r.doc_id is None for r in got) == 600
+    total, ranges = sum(r.length for r in got), Counter()
+    for r in got:
+        ranges[r.sequence_id >> 32] += r.length
+    assert max(ranges.values()) < 17_000 < total / 3
+    places = {(r.sequence_id, r.offset) for r in got}
+    assert len(places) == 1800
+    for key in {r.sequence_id for r in got}:
+        own = sorted((r.offset, r.length) for r in got if r.sequence_id == key)
+        assert [a for a, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]

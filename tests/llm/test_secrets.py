@@ -80,3 +80,48 @@ def test_masking(spark, detector):
                                  "doc_id long, text string, n_chars long, mask long")
     rows = sorted(map(tuple, secrets.masked(docs, detector).collect()))
     assert rows == [(1, "x [secret] y", 12, 7), (2, None, 3, 8), (3, "clean", 5, 9)]
+
+
+def plain_log(samples, text):
+    """The chain's formula by loops over the samples, character by character."""
+    from collections import Counter
+    from math import log
+
+    one, two, three = Counter(), Counter(), Counter()
+    for sample, n in samples.items():
+        padded = ["start", "start", *sample]
+        for a, b, c in zip(padded, padded[1:], padded[2:]):
+            one[c] += n
+            two[b, c] += n
+            three[a, b, c] += n
+
+    def of(counts, *context):
+        return sum(n for k, n in counts.items() if k[:-1] == context)
+
+    total, out, padded = sum(one.values()), 0.0, ["start", "start", *text]
+    for a, b, c in zip(padded, padded[1:], padded[2:]):
+        p1 = (one[c] + 1) / (total + secrets.N)
+        p2 = (two[b, c] + 20 * p1) / (of(two, b) + 20)
+        out += log((three[a, b, c] + 20 * p2) / (of(three, a, b) + 20))
+    return out
+
+
+def test_chains_and_added_spans_against_plain_formulas():
+    from collections import Counter
+
+    rng = random.Random(4)
+    ordinary = secrets.composed(["river", "stone", "garden", "window"], 60)
+    keys = Counter("".join(rng.choices(secrets.ALPHABET[:62], k=30)) for _ in range(40))
+    detector = secrets.Detector(keys, ordinary)
+    shown = ["".join(rng.choices(secrets.ALPHABET[:62], k=32)) for _ in range(4)] + ["river_stone_garden_2024", "StoneWindow77GardenRiver", "x" * 25]
+    for text in shown:
+        assert abs(detector.random.score(text) - plain_log(keys, text)) < 1e-2
+        assert abs(detector.ordinary.score(text) - plain_log(ordinary, text)) < 1e-2
+    text = "see " + " then ".join(shown) + " and token=abcdefgh12345678abcdefgh12345678 end"
+    want = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        run = m.group()
+        ratio = plain_log(keys, run) - plain_log(ordinary, run)
+        if len(run) >= 20 and "token" not in run and any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and ratio > detector.limit * len(run):
+            want.append((m.start(), 3, m.end()))
+    assert detector.spans(text) == (plain_base(text), want) and len(want) >= 3

@@ -208,12 +208,18 @@ def _in_order(pieces: DataFrame, order: DataFrame, window: int, period: int, ran
     slot = F.coalesce(F.col("_place.slot"), F.lit(1 << 62))
     layout = layout.select("piece_id", "doc_id", "start", "length", slot.alias("slot"), F.coalesce("_place.byte_start", F.lit(0)).alias("byte_start"))
     layout = stored(layout.withColumn("_period", F.expr(f"slot div {period}")), "pack-layout")
-    # One row per period, hence few; a range begins where the tokens before it pass a multiple.
-    periods = layout.groupBy("_period").agg(F.sum("length").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_period").rowsBetween(Window.unboundedPreceding, -1))
-    periods = periods.withColumn("_before", F.coalesce(before, F.lit(0)))
-    periods = periods.select("_period", F.expr(f"_before div {range_tokens}").alias("_range"))
-    rows = layout.join(periods, "_period").drop("_period")
+    # A range begins where the tokens before it pass a multiple; running sums by groups of periods, then inside them.
+    periods = layout.groupBy("_period").agg(F.sum("length").alias("_n")).withColumn("_group", F.expr("_period div 1024"))
+    groups = periods.groupBy("_group").agg(F.sum("_n").alias("_all"))
+    earlier = F.sum("_all").over(Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum("_n").over(Window.partitionBy("_group").orderBy("_period").rowsBetween(Window.unboundedPreceding, -1))
+    periods = periods.join(groups.select("_group", F.coalesce(earlier, F.lit(0)).alias("_earlier")), "_group")
+    periods = periods.withColumn("_before", F.col("_earlier") + F.coalesce(inside, F.lit(0)))
+    # Rows of one key have one place, so a period can hold any number; then its pieces are dealt over the ranges it fills.
+    cuts = F.when(F.col("_n") > 16 * range_tokens, F.ceil(F.col("_n") / range_tokens)).otherwise(1)
+    periods = periods.select("_period", F.expr(f"_before div {range_tokens}").alias("_first"), cuts.cast("long").alias("_cuts"))
+    rows = layout.join(periods, "_period").withColumn("_range", F.col("_first") + F.pmod(F.xxhash64("piece_id"), F.col("_cuts")))
+    rows = rows.drop("_period", "_first", "_cuts")
 
     def place(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(["slot", "byte_start", "doc_id", "start", "piece_id"], ignore_index=True)

@@ -149,7 +149,7 @@ def compare_edited(docs: DataFrame, bytes_per_task: int = 16 << 20, key: str = "
     """Fingerprints of every whole text and of its edited text, and their likeness to each other and the next one's.
 
     The next document is the one before it by ascending key; null keys come last, the last is followed by the first, and
-    rows with equal keys follow each other in the order of their texts.  A null text is empty; two texts without
+    rows with equal keys follow each other in the order of a hash of their texts.  A null text is empty; two texts without
     words are alike (1.0), a text without words and one with words are not.  A single row is its own next.
 
     Texts are dealt once into ranges of keys and compared within a range; what is cut by the ranges' borders, one
@@ -158,9 +158,9 @@ def compare_edited(docs: DataFrame, bytes_per_task: int = 16 << 20, key: str = "
     rows = narrow(docs, {"doc_id": key, "_text": text})
     total = rows.agg(F.sum(text_bytes("_text") + 1)).first()[0] or 0
     tasks = max(-(-total // bytes_per_task), docs.sparkSession.sparkContext.defaultParallelism)
-    order = [F.col("doc_id").desc_nulls_last(), F.col("_text").asc_nulls_first()]
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("_text")]
     rows = rows.select(F.col("doc_id").cast("long"), "_text")
-    dealt = rows.repartitionByRange(int(tasks), order[0], F.xxhash64("_text")).sortWithinPartitions(order[0], F.xxhash64("_text"))
+    dealt = rows.repartitionByRange(int(tasks), *order).sortWithinPartitions(*order)
     walked = stored(dealt.mapInArrow(_walk(), f"{RESULT}, part int, edge int, text string"), "weighted-walk")
     firsts = walked.filter("edge = 1").select("part", F.col("text").alias("following"))
     parts = walked.filter("edge = 1").select("part")  # a row per range
