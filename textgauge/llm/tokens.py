@@ -102,7 +102,7 @@ class _PieceTable:
     A full table is set aside, and pieces that are met again move to the next one.
     """
 
-    def __init__(self, model, most: int = 2 * CACHED):
+    def __init__(self, model, most: int = 3 * CACHED // 4):
         self.tokenize, self.letters, self.most = model.tokenize, _byte_letters(), most
         self.aside = ({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4"))
         self._begin()
@@ -163,7 +163,7 @@ KINDS[[9, 10, 11, 12, 13, 32]] = 0
 KINDS[97:123] = KINDS[128:] = 1
 KINDS[48:58] = 2
 ONE_AFTER, TWO_AFTER = b"stmd", (b"re", b"ve", b"ll")
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 
 
 def _cut(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
