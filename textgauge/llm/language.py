@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgauge.llm.tables import draw, narrow, sampled, text_bytes
+from textgauge.llm.tables import draw, keeps, narrow, sampled, text_bytes, working
 
 ORDER = 4
 WORD = re.compile(r"[^\W\d_]+")
@@ -205,13 +205,25 @@ def train(
 
 
 _scorers: dict[int, Scorer] = {}
+_read: list = []
+
+
+def _drop() -> None:
+    """Forget the model and its words; the broadcast stays and can be read again."""
+    _scorers.clear()
+    while _read:
+        vars(_read.pop()).pop("_value", None)
+
+
+keeps("language", _drop)
 
 
 def shared_scorer(broadcast) -> Scorer:
     """One scorer per worker and model; the last model only."""
     if broadcast.id not in _scorers:
-        _scorers.clear()
+        _drop()
         _scorers[broadcast.id] = Scorer(broadcast.value)
+        _read.append(broadcast.sent)
     return _scorers[broadcast.id]
 
 
@@ -240,6 +252,7 @@ def identify(docs: DataFrame, trees: ContextTrees, key: str = "doc_id", text: st
     model = Shared(docs, trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working("language")
         scorer = shared_scorer(model)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -268,6 +281,7 @@ def recognised(docs: DataFrame, trees: ContextTrees, most_bits: float = 6.0, tex
 
     @F.pandas_udf("boolean")
     def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        working("language")
         scorer = shared_scorer(model)
         for texts in batches:
             found = map(scorer.predict, (t if isinstance(t, str) else None for t in texts))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from textgauge.llm.components import connected
 from textgauge.llm.simhash import LOWER, links, text_hash
-from textgauge.llm.tables import narrow, stored
+from textgauge.llm.tables import narrow, stored, working
 
 WORDS = 5
 PERCENT = 80
@@ -90,6 +90,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     """``doc_id, text_hash, set`` (digest of the shingle set), ``n`` (its size), ``fp, bands`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working("near-dedup")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -106,6 +107,7 @@ def sets_of(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     """``set, hashes`` of every row: whole shingle sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working("near-dedup")
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 found = [shingles(t.as_py(), words)[0] for t in batch.column(1).slice(at, 64)]

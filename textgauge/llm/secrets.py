@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgauge.llm.language import Shared
-from textgauge.llm.tables import below, draw, narrow, text_bytes
+from textgauge.llm.tables import below, draw, narrow, text_bytes, working
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -185,6 +185,7 @@ def scan(docs: DataFrame, detector: Detector, key: str = "doc_id", text: str = "
     schema = pa.schema([("doc_id", pa.int64()), ("base", span), ("more", span)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working("secrets")
         own = model.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -231,6 +232,7 @@ def masked(docs: DataFrame, detector: Detector, mask: str = "[secret]", text: st
 
     @F.pandas_udf("string")
     def hide(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        working("secrets")
         own = model.value
         for texts in batches:
             out = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ import textgauge
 from textgauge.session import scratch_path
 
 _shipped: set[str] = set()
+#: In a worker: how to drop what each operator keeps between tasks.
+_kept: dict[str, Callable[[], None]] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -36,6 +38,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def keeps(operator: str, drop: Callable[[], None]) -> None:
+    """Say how to drop what an operator keeps in a worker from task to task."""
+    _kept[operator] = drop
+
+
+def working(operator: str) -> None:
+    """Called by a task of an operator: a worker that served others before drops what they kept."""
+    import pyarrow as pa
+
+    for other, drop in _kept.items():
+        if other != operator:
+            drop()
+    pa.default_memory_pool().release_unused()
+
+
 def narrow(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Only the named columns, under the operator's own names: further columns can't clash."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])

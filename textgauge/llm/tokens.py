@@ -18,6 +18,8 @@ from operator import attrgetter
 
 import numpy as np
 
+from textgauge.llm.tables import keeps, working
+
 CACHED = 200_000
 ID = attrgetter("id")
 PACK = [struct.Struct(f"<{n}I").pack for n in range(24)]
@@ -155,6 +157,7 @@ def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 _loaded: dict[str, _Chunks] = {}
+keeps("tokens", _loaded.clear)
 
 
 #: Kinds of bytes in plain lower-case text (white space, letters, digits, others) and contractions.
@@ -262,6 +265,7 @@ def encode(texts: Iterable[bytes | None], path: str, end: int | None = None) ->
     Texts are taken together up to ``TOGETHER`` bytes; the order stays.
     """
     if path not in _loaded:
+        working("tokens")
         _loaded[path] = _Chunks(path)
     chunks = _loaded[path]
     tail = b"" if end is None else np.uint32(end).astype("<u4").tobytes()
