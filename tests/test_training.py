@@ -55,6 +55,18 @@ def test_a_pass_serves_all_penalties(spark, monkeypatch):
     assert longest <= 51 and len(passes) <= longest + 15 < sum(len(f.objective) for f in fits)
 
 
+def test_sums_by_spark_are_those_of_the_driver(spark, monkeypatch):
+    from textgauge.operators import penalties
+
+    rows = vectors(spark, 300).cache()
+    here = fit_penalties(rows, "label", (0.1,), 40)
+    monkeypatch.setattr(penalties, "AT_DRIVER", 0)
+    monkeypatch.setattr(penalties, "TASK_ROWS", 60)
+    monkeypatch.setattr(penalties, "CHUNK", 16)
+    there = fit_penalties(rows, "label", (0.1,), 40)
+    assert np.allclose(here[0].weights, there[0].weights, atol=1e-6) and abs(here[0].intercept - there[0].intercept) < 1e-6
+
+
 def test_one_class_or_no_rows(spark):
     rows = vectors(spark, 50)
     for part, sign in ((rows.where("label = 1"), 1), (rows.where("label = 0"), -1), (rows.limit(0), 0)):

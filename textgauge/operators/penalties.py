@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 CHUNK = 1 << 14
 BLOCK_ROWS = 4096
+TASK_ROWS = 20_000
+AT_DRIVER = 32 << 20
 
 
 @dataclass
@@ -108,8 +110,11 @@ def _opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         yield tuple(np.frombuffer(batch.column(c)[i].as_py(), kind) for c, kind in enumerate(("<f8", "<i8", "<i4", "<f8")))
 
 
-def _summed(blocks: DataFrame, work, width: int) -> np.ndarray:
-    """Sum over all tasks of a vector that ``work`` makes of a task's blocks; cut into chunks, added up by Spark."""
+def _summed(blocks: DataFrame, work, width: int, tasks: int) -> np.ndarray:
+    """Sum over all tasks of a vector that ``work`` makes of a task's blocks.
+
+    Vectors are cut into chunks that Spark adds up; where those of all tasks together are small the driver does.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -126,9 +131,14 @@ def _summed(blocks: DataFrame, work, width: int) -> np.ndarray:
         total = np.sum([np.frombuffer(x, "<f8") for x in own["sums"]], axis=0)
         return pd.DataFrame({"chunk": own["chunk"].iloc[:1], "sums": [total.astype("<f8").tobytes()]})
 
-    chunks = blocks.mapInArrow(run, "chunk int, sums binary").groupBy("chunk").applyInPandas(add, "chunk int, sums binary")
-    found = {r["chunk"]: np.frombuffer(r["sums"], "<f8") for r in chunks.collect()}
-    return np.concatenate([found[i] for i in sorted(found)]) if found else np.zeros(width)
+    chunks = blocks.mapInArrow(run, "chunk int, sums binary")
+    if tasks * width * 8 > AT_DRIVER:
+        chunks = chunks.groupBy("chunk").applyInPandas(add, "chunk int, sums binary")
+    total = np.zeros(width)
+    for r in chunks.collect():
+        at = r["chunk"] * CHUNK
+        total[at : at + CHUNK] += np.frombuffer(r["sums"], "<f8")
+    return total
 
 
 def fit_penalties(
@@ -140,8 +150,9 @@ def fit_penalties(
     that of the class shares (at most 1e9 to either side).
     """
     spark = rows.sparkSession
-    # One block task per core: every task of a pass sends one vector of sums.
-    blocks = feature_blocks(rows.coalesce(spark.sparkContext.defaultParallelism), label, features).persist(StorageLevel.MEMORY_AND_DISK)
+    # Every task of a pass sends one vector of sums: as many tasks as the rows ask for, at most one per core.
+    tasks = max(1, min(spark.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS)))
+    blocks = feature_blocks(rows.coalesce(tasks), label, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
 
         def moments(labels, sizes, numbers, values):
@@ -151,7 +162,7 @@ def fit_penalties(
             own[2 * size :] = len(labels), labels.sum()
             return own
 
-        sums = _summed(blocks, moments, 2 * size + 2)
+        sums = _summed(blocks, moments, 2 * size + 2, tasks)
         n, ones = sums[2 * size], sums[2 * size + 1]
         intercept = float(np.clip(np.log(ones) - np.log(n - ones), -1e9, 1e9)) if 0 < ones < n else (1e9 if n and ones else -1e9 if n else 0.0)
         if not 0 < ones < n:
@@ -185,7 +196,7 @@ def fit_penalties(
                 each = [np.bincount(at, values * miss[row, j], len(weights))[:-1] for j in range(weights.shape[1])]
                 return np.concatenate([*each, miss.sum(0), loss.sum(0)])
 
-            sums = _summed(blocks, gradients, k * many + 2 * k)
+            sums = _summed(blocks, gradients, k * many + 2 * k, tasks)
             for j, search in enumerate(open_):
                 missed = sums[k * many + j]
                 slope = (sums[j * many : (j + 1) * many] - mean * missed) * scale
@@ -216,7 +227,8 @@ def confusion(rows: DataFrame, label: str, fits: Sequence[Weights], features: st
         kind = 2 * labels[:, None].astype(np.int64) + chosen
         return np.concatenate([np.bincount(kind[:, j], minlength=4) for j in range(k)])
 
-    found = _summed(feature_blocks(rows, label, features), counts, 4 * k).reshape(k, 2, 2)
+    # A few numbers a task.
+    found = _summed(feature_blocks(rows, label, features), counts, 4 * k, 1).reshape(k, 2, 2)
     shared.destroy()
     return list(found.astype(np.int64))
 
