@@ -309,3 +309,21 @@ def test_late_rows_are_dropped(spark, tmp_path):
     assert run() == {0: (3, 1, 29.5)}
     write(30, 200)  # minute 30 is behind the watermark of 2:00
     assert run() == {0: (3, 1, 29.5), 2: (1, 0, 130.0)}
+
+
+def test_stream_reads_a_table_of_part_files(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"some words {i}") for i in range(30)], "k int, text string")
+    df.repartition(3).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    df.withColumn("k", -F.col("k") - 1).write.parquet(str(tmp_path / "in" / "others.parquet"))
+    stream = streams.read_table_stream(spark, str(tmp_path / "in"), "documents.parquet", df.schema, files_per_batch=1)
+    streams.write_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
+    assert sorted(r.k for r in readers.read_folder(spark, str(tmp_path / "out")).collect()) == list(range(30))
+
+
+def test_stream_score_on_a_table_of_part_files(spark, sf, tmp_path):
+    from textgauge.catalog import load
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = load()[0]["stream_score"](spark, str(tmp_path))
+    assert sorted(r.doc_id for r in rows.collect()) == sorted(r.doc_id for r in docs.collect())

@@ -275,7 +275,7 @@ def _(spark, sf):
 
 @query("stream_score_with_model", _WITH_MODEL)
 def _(spark, sf):
-    texts = streams.read_stream(spark, sf, table(spark, sf, "documents").schema, "documents.parquet")
+    texts = streams.read_table_stream(spark, sf, "documents.parquet", table(spark, sf, "documents").schema)
     target = scratch_path(spark, "stream-model")
     rows = streams.score_stream(texts, load_model(_fitted(spark, sf)))
     streams.write_stream(rows, target, f"{target}-checkpoint", once=True).awaitTermination()
@@ -308,7 +308,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     schema = table(spark, sf, "documents").schema
-    texts = streams.read_stream(spark, sf, schema, "documents.parquet")
+    texts = streams.read_table_stream(spark, sf, "documents.parquet", schema)
     target = scratch_path(spark, "stream")
     rows = streams.score_stream(texts, by_length(), ScoreConfig())
     streams.write_stream(rows, target, f"{target}-checkpoint", once=True).awaitTermination()
@@ -331,7 +331,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     schema = table(spark, sf, "events").schema
-    log = streams.read_stream(spark, sf, schema, "events.parquet")
+    log = streams.read_table_stream(spark, sf, "events.parquet", schema)
     target = scratch_path(spark, "stats")
     stats = streams.scoring_stats(log, F.col("event_type") == "error")
     streams.write_stream(stats, target, f"{target}-checkpoint", once=True).awaitTermination()

@@ -24,6 +24,15 @@ def read_stream(
     )
 
 
+def read_table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
+    """New files of one Parquet table of a folder, be the table a single file or a folder of part files.
+
+    A stream can't begin at a single file, so the table is named by a pattern that matches nothing else.
+    """
+    path = f"{folder.rstrip('/')}/{{{name}}}"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
 def score_stream(texts: DataFrame, scorer: Predictor | PipelineModel, config: ScoreConfig = ScoreConfig()) -> DataFrame:
     """Scored rows with the input status, by a plug-in predictor or a fitted model; alike on a stream and on a table."""
     return score(texts.withColumn("input_status", input_status(config.text)), scorer, config)
