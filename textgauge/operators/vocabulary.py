@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from textgauge.config import AI, HUMAN
 from textgauge.functions import text as X
+from textgauge.functions.runs import run_counts
+from textgauge.session import stored
 
 
 def class_words(df: DataFrame, text: str, label: str, size: int = 1) -> DataFrame:
@@ -27,6 +29,13 @@ def class_words(df: DataFrame, text: str, label: str, size: int = 1) -> DataFram
     return rows.where(F.col("word") != "")
 
 
+def word_counts(df: DataFrame, text: str, label: str, size: int = 1) -> DataFrame:
+    """``class_words`` counted: (label, word, n), combined within tasks before rows are made of it."""
+    runs = run_counts(df.where(F.col(label).isNotNull()), F.lower(F.coalesce(F.col(text), F.lit("None"))), label, size=size)
+    word = F.concat_ws(" ", *[f"w{i}" for i in range(size)]) if size > 1 else F.col("w0")
+    return runs.select(label, word.alias("word"), "n").groupBy(label, "word").agg(F.sum("n").alias("n"))
+
+
 def vocabulary_size(df: DataFrame, text: str, label: str) -> DataFrame:
     """Distinct words per class."""
     distinct = class_words(df, text, label).groupBy(label, "word").agg(F.count(F.lit(1)).alias("_n"))
@@ -60,10 +69,9 @@ def top_words(
     Words are ranked within ``parts`` hash parts of a class first, so no task sorts a class's whole vocabulary; at
     most ``k`` words of each part meet in the last ranking, whatever ``k`` is.
     """
-    words = class_words(df, text, label, size)
+    counts = word_counts(df, text, label, size)
     if stop_words:
-        words = words.where(~F.col("word").isin(*stop_words))
-    counts = words.groupBy(label, "word").agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.where(~F.col("word").isin(*stop_words))
     counts = counts.withColumn("_part", F.pmod(F.xxhash64("word"), F.lit(parts)))
     inside = Window.partitionBy(label, "_part").orderBy(F.desc("n"), "word")
     counts = counts.withColumn("_in", F.row_number().over(inside)).where(F.col("_in") <= k)
@@ -79,10 +87,14 @@ def phrases(df: DataFrame, text: str, label: str, least: float = 30.0) -> DataFr
     taken from the counts of its two words, whose own ``score`` is null; words without remaining occurrences are dropped.
     Frequent words are combined map-side; pairs meet the counts of their words by joins on the word.
     """
-    words = class_words(df, text, label).groupBy(label, "word").agg(F.count(F.lit(1)).alias("n"))
+    lower = F.lower(F.coalesce(F.col(text), F.lit("None")))
+    runs = run_counts(df.where(F.col(label).isNotNull()), lower, label, size=2, ends=True)
+    # Texts are read once: a word occurs as often as it begins a pair or ends a text.
+    runs = runs.groupBy(label, F.col("w0").alias("_a"), F.col("w1").alias("_b")).agg(F.sum("n").alias("_pair"))
+    runs = stored(runs, "pairs")
+    words = stored(runs.groupBy(label, F.col("_a").alias("word")).agg(F.sum("_pair").alias("n")), "words")
     total = words.groupBy(label).agg(F.sum("n").alias("_total"))
-    pairs = class_words(df, text, label, 2).groupBy(label, "word").agg(F.count(F.lit(1)).alias("_pair"))
-    pairs = pairs.withColumn("_a", F.substring_index("word", " ", 1)).withColumn("_b", F.substring_index("word", " ", -1))
+    pairs = runs.where("_b is not null").withColumn("word", F.concat_ws(" ", "_a", "_b"))
     pairs = pairs.join(words.select(label, F.col("word").alias("_a"), F.col("n").alias("_na")), [label, "_a"])
     pairs = pairs.join(words.select(label, F.col("word").alias("_b"), F.col("n").alias("_nb")), [label, "_b"]).join(total, label)
 
@@ -95,6 +107,7 @@ def phrases(df: DataFrame, text: str, label: str, least: float = 30.0) -> DataFr
     score = 2 * (likelihood(k, a, k / a) + likelihood(b - k, n - a, rest) - likelihood(k, a, b / n) - likelihood(b - k, n - a, b / n))
     # More often than chance, not less.
     found = pairs.withColumn("score", score).where((F.col("score") > least) & (k / a > b / n))
+    found = stored(found.select(label, "word", "_a", "_b", "_pair", "score"), "phrases")
     taken = found.select(label, F.inline(F.array(*[F.struct(F.col(c).alias("word"), k.alias("_k")) for c in ("_a", "_b")])))
     taken = taken.groupBy(label, "word").agg(F.sum("_k").alias("_taken"))
     left = words.join(taken, [label, "word"], "left").withColumn("n", F.col("n") - F.coalesce("_taken", F.lit(0)))
