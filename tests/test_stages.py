@@ -88,3 +88,24 @@ def test_an_added_file_is_measured_alone(spark, tmp_path):
     assert totals(stage_cache.per_file(spark, folder, stage, measure)) == left and read == [3, 1]
     with pytest.raises(ValueError):
         stage_cache.per_file(spark, folder, Stage(str(tmp_path / "o2"), "w", {}), measure, "*.none")
+
+
+def test_a_folder_of_part_files_is_one_file(spark, tmp_path):
+    folder, stage, read = str(tmp_path / "in"), Stage(str(tmp_path / "out"), "words", {"v": 1}), []
+
+    def measure(rows):
+        read.append(rows.select("file_id").distinct().count())
+        return counts_of(rows)
+
+    def plain():
+        rows = spark.read.option("recursiveFileLookup", True).parquet(folder)
+        return {r.word: r.n for r in class_words(rows, "text", "generated").groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    for name in ("a", "b"):
+        corpus(spark, 60).repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    assert totals(stage_cache.per_file(spark, folder, stage, measure)) == plain() and read == [2]
+    corpus(spark, 30).repartition(2).write.parquet(f"{folder}/c.parquet")
+    assert totals(stage_cache.per_file(spark, folder, stage, measure)) == plain() and read == [2, 1]
+    # A table that has one more part is measured anew, as a whole.
+    corpus(spark, 30).repartition(2).write.mode("append").parquet(f"{folder}/b.parquet")
+    assert totals(stage_cache.per_file(spark, folder, stage, measure)) == plain() and read == [2, 1, 1]

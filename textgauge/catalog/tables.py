@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textgauge.catalog.registry import SPACE, query, rounded, sql_clean, table
 from textgauge.catalog.serving import _DIFF, _snapshots
-from textgauge.operators.vocabulary import class_words
+from textgauge.operators.vocabulary import word_counts
 from textgauge.session import scratch_path
 from textgauge.sources import csv_ranges, stage_cache, sync, writers
 from textgauge.streaming import scoring as streams
@@ -84,11 +84,12 @@ def _(spark, sf):
 
     def measure(rows):
         read.append(rows.select("file_id").distinct().count())
-        return class_words(rows, "text", "file_id").groupBy("file_id", "word").agg(F.count(F.lit(1)).alias("n"))
+        return word_counts(rows, "text", "file_id")
 
     for parts in ((0, 1, 2), (3,)):
         for part in parts:
-            docs.where(F.col("doc_id") % 4 == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+            mine = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(4)) == part
+            docs.where(mine).write.parquet(f"{base}/in/part-{part}.parquet")
         found = stage_cache.per_file(spark, f"{base}/in", stage, measure)
     files = found.select("file_id").distinct().count()
     counts = found.groupBy("word").agg(F.sum("n").alias("n"))

@@ -8,8 +8,10 @@ per input file: a file that is added is measured alone.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +79,17 @@ def cached_stage(
     return run_stage(spark, Stage(base, stage, params), build)
 
 
+def _tables(files: DataFrame, folder: str) -> DataFrame:
+    """``path`` of every listed file and ``file_id``: that of its own path, size and time, or of all parts of its table."""
+    inside = re.escape(urlsplit(folder).path.rstrip("/")) + r"/(?:[^/]+/)*?[^/]+\.parquet(?=/)"
+    own = F.concat_ws("|", "path", "size", F.unix_micros("modified"))
+    # The table's folder, or the file's own path.
+    table = F.regexp_extract("path", f"^.*?{inside}", 0)
+    files = files.select("path", F.when(table == "", F.col("path")).otherwise(table).alias("_table"), own.alias("_own"))
+    known = files.groupBy("_table").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("_own")), "\n"), 256).alias("file_id"))
+    return files.join(F.broadcast(known), "_table").select("path", "file_id")
+
+
 def per_file(
     spark: SparkSession, folder: str, stage: Stage, measure: Callable[[DataFrame], DataFrame], pattern: str = "*.parquet"
 ) -> DataFrame:
@@ -84,9 +97,10 @@ def per_file(
 
     ``measure`` turns the rows of some files, with their ``file_id``, into partial results that keep it, and which the
     caller adds up over files.  A file is known by path, size and time: a changed one is measured anew, and results of
-    files that are gone are left out.  Rounds are numbered by what was known before, so a repeated one overwrites itself.
+    files that are gone are left out.  A folder ``name.parquet`` of part files is one file, known by all of its parts, so a
+    large file is written and read by many tasks.  Rounds are numbered by what was known before, so a repeated one overwrites itself.
     """
-    files = list_files(spark, folder, pattern).select("path", F.sha2(F.concat_ws("|", "path", "size", F.unix_micros("modified")), 256).alias("file_id"))
+    files = _tables(list_files(spark, folder, pattern), folder)
     rounds = 0
     while is_complete(spark, f"{stage.path}/round={rounds}"):
         rounds += 1
@@ -102,10 +116,10 @@ def per_file(
         spark.createDataFrame([(i, p) for p, i in paths.items()], "file_id string, path string").write.mode("overwrite").parquet(f"{here}/files")
         rows = spark.read.parquet(*paths).withColumn("_path", F.col("_metadata.file_path"))
         names = spark.read.parquet(f"{here}/files").select(F.col("path").alias("_path"), "file_id")
-        measure(rows.join(names, "_path").drop("_path")).write.mode("overwrite").parquet(f"{here}/parts")
+        measure(rows.join(F.broadcast(names), "_path").drop("_path")).write.mode("overwrite").parquet(f"{here}/parts")
         spark.createDataFrame([(stage.note(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{here}.done")
         done.append(here)
     if not done:
         raise ValueError(f"no files {pattern} at {folder}")
     parts = spark.read.parquet(*[f"{d}/parts" for d in done])
-    return parts.join(files.select("file_id"), "file_id", "left_semi")
+    return parts.join(F.broadcast(files.select("file_id").distinct()), "file_id", "left_semi")
