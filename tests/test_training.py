@@ -198,3 +198,18 @@ def test_bayes_without_training_rows(spark, tmp_path):
         bayes.score_bayes(none, model, "text", "k")
     with pytest.raises(ValueError):
         bayes.fit_bayes(none, "text", "y", str(tmp_path / "more"), alpha=0)
+
+
+def test_many_passes_together_are_summed_by_spark(spark, monkeypatch):
+    from textgauge.operators import penalties
+
+    sent, taken = [], penalties.np.frombuffer
+    monkeypatch.setattr(penalties.np, "frombuffer", lambda data, kind: sent.append(len(data)) or taken(data, kind))
+    rows = vectors(spark, 300).repartition(5).cache()
+    monkeypatch.setattr(penalties, "TASK_ROWS", 60)
+    # A single pass of all tasks is below the limit, 50 of them are not.
+    monkeypatch.setattr(penalties, "AT_DRIVER", 50 * 40 * 8)
+    fits = fit_penalties(rows, "label", (0.1,), 40)
+    width, passes = 42 * 8, len(fits[0].objective)
+    moments = 5 * 82 * 8
+    assert sum(sent) <= moments + (passes + 20) * width

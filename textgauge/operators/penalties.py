@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 14
 BLOCK_ROWS = 4096
 TASK_ROWS = 20_000
-AT_DRIVER = 32 << 20
+AT_DRIVER = 128 << 20
 
 
 @dataclass
@@ -110,10 +110,11 @@ def _opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         yield tuple(np.frombuffer(batch.column(c)[i].as_py(), kind) for c, kind in enumerate(("<f8", "<i8", "<i4", "<f8")))
 
 
-def _summed(blocks: DataFrame, work, width: int, tasks: int) -> np.ndarray:
+def _summed(blocks: DataFrame, work, width: int, tasks: int, passes: int = 1) -> np.ndarray:
     """Sum over all tasks of a vector that ``work`` makes of a task's blocks.
 
-    Vectors are cut into chunks that Spark adds up; where those of all tasks together are small the driver does.
+    Vectors are cut into chunks that Spark adds up; the driver does where those of all tasks are small, over so many
+    ``passes`` together.  What it gets in the other case doesn't depend on the number of tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +133,7 @@ def _summed(blocks: DataFrame, work, width: int, tasks: int) -> np.ndarray:
         return pd.DataFrame({"chunk": own["chunk"].iloc[:1], "sums": [total.astype("<f8").tobytes()]})
 
     chunks = blocks.mapInArrow(run, "chunk int, sums binary")
-    if tasks * width * 8 > AT_DRIVER:
+    if tasks > 1 and passes * tasks * width * 8 > AT_DRIVER:
         chunks = chunks.groupBy("chunk").applyInPandas(add, "chunk int, sums binary")
     total = np.zeros(width)
     for r in chunks.collect():
@@ -196,7 +197,7 @@ def fit_penalties(
                 each = [np.bincount(at, values * miss[row, j], len(weights))[:-1] for j in range(weights.shape[1])]
                 return np.concatenate([*each, miss.sum(0), loss.sum(0)])
 
-            sums = _summed(blocks, gradients, k * many + 2 * k, tasks)
+            sums = _summed(blocks, gradients, k * many + 2 * k, tasks, steps)
             for j, search in enumerate(open_):
                 missed = sums[k * many + j]
                 slope = (sums[j * many : (j + 1) * many] - mean * missed) * scale
