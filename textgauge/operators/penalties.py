@@ -142,6 +142,26 @@ def _summed(blocks: DataFrame, work, width: int, tasks: int, passes: int = 1) ->
     return total
 
 
+def sums_of_block(weights: np.ndarray, base: np.ndarray, at: np.ndarray, labels: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Gradients, misses and losses of a block of rows under the weights of every penalty, a row of ``weights`` each.
+
+    One penalty after the other: a number per value is held at a time, not one per value and penalty.  The last weight
+    is that of the features left out.
+    """
+    full = np.flatnonzero(sizes)
+    starts, at = (np.cumsum(sizes) - sizes)[full], at.astype(np.int64)
+    slopes, missed, lost = [], [], []
+    for own, first in zip(weights, base, strict=True):
+        margin = np.full(len(labels), first)
+        if len(full):
+            margin[full] += np.add.reduceat(own[at] * values, starts)
+        miss = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - labels
+        slopes.append(np.bincount(at, values * np.repeat(miss, sizes), len(own))[:-1])
+        missed.append(miss.sum())
+        lost.append((np.logaddexp(0, margin) - labels * margin).sum())
+    return np.concatenate([*slopes, missed, lost])
+
+
 def fit_penalties(
     rows: DataFrame, label: str, penalties: Sequence[float], size: int, steps: int = 50, tolerance: float = 1e-6, features: str = "features"
 ) -> list[Weights]:
@@ -183,19 +203,11 @@ def fit_penalties(
             k = len(open_)
             raw = np.stack([s.trial[:many] * scale for s in open_], 1)
             base = np.array([s.trial[many] for s in open_]) - mean @ raw
-            shared = spark.sparkContext.broadcast((np.vstack([raw, np.zeros((1, k))]), base))
+            shared = spark.sparkContext.broadcast((np.hstack([raw.T, np.zeros((k, 1))]), base))
 
             def gradients(labels, sizes, numbers, values):
-                (weights, base), at = shared.value, shared_place.value[numbers]
-                ends = np.cumsum(sizes)
-                running = np.zeros((len(values) + 1, weights.shape[1]))
-                np.cumsum(weights[at] * values[:, None], axis=0, out=running[1:])
-                margin = base + running[ends] - running[ends - sizes]
-                loss = np.logaddexp(0, margin) - labels[:, None] * margin
-                miss = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - labels[:, None]
-                row = np.repeat(np.arange(len(labels)), sizes)
-                each = [np.bincount(at, values * miss[row, j], len(weights))[:-1] for j in range(weights.shape[1])]
-                return np.concatenate([*each, miss.sum(0), loss.sum(0)])
+                weights, base = shared.value
+                return sums_of_block(weights, base, shared_place.value[numbers], labels, sizes, values)
 
             sums = _summed(blocks, gradients, k * many + 2 * k, tasks, steps)
             for j, search in enumerate(open_):
